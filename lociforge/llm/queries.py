@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociforge.llm import chat_format, decontaminate, url_filter
+from lociforge.llm import bpe, chat_format, decontaminate, html_extract, toxicity, url_filter
 
 RULES = (
     url_filter.Rule("block", "com", "/en/"),
@@ -25,6 +25,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), toxicity.toxicity_score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.extract_pages(_table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     extra = spark.range(2, numPartitions=1).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICKY).alias("text"))
@@ -36,6 +48,17 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(found)
 
 
+def tokenizer(name: str = "byte_bpe_multi_50k.tiktoken") -> bpe.Tokenizer:
+    import public_tokenizers
+
+    return bpe.Tokenizer(public_tokenizers.path(name), public_tokenizers.PATTERN)
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return docs.select("doc_id", bpe.encode_digest(tokenizer(), F.col("text")).alias("x")).select("doc_id", "x.*")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
