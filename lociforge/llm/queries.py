@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociforge.llm import bpe, chat_format, decontaminate, html_extract, ngram_join, toxicity, url_filter
+from lociforge.llm import bpe, chat_format, decontaminate, embedding_dedup, html_extract, ngram_join, toxicity, url_filter
 
 RULES = (
     url_filter.Rule("block", "com", "/en/"),
@@ -36,6 +36,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html_extract.extract_pages(_table(spark, sf_dir, "pages"))
     return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
