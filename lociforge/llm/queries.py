@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociforge.llm import bpe, chat_format, decontaminate, embedding_dedup, html_extract, ngram_join, toxicity, url_filter
+from lociforge.llm import bpe, chat_format, decontaminate, embedding_dedup, html_extract, ngram_join, substring_dedup, toxicity, url_filter
 
 RULES = (
     url_filter.Rule("block", "com", "/en/"),
@@ -72,6 +72,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op")}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
