@@ -169,6 +169,18 @@ def encode_digest(tokenizer: Tokenizer, text: Column) -> Column:
 
 
 def encode_documents(docs: DataFrame, tokenizer: Tokenizer, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (binary, as training readers take them) and ``n_tokens`` in place of columns of those names; every row stays."""
-    coded = docs.withColumn("ids", encode(tokenizer, F.col(text)))
-    return coded.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+    """``docs`` with ``ids`` (as ``encode`` gives them), ``n_tokens`` and ``lossless`` in place of columns of those names.
+
+    ``lossless``: decoding the ids gives the text's bytes again.  Every row and other column stays; null texts have no ids.
+    """
+
+    def run(column: pa.Array) -> pa.Array:
+        bpe = tokenizer.local()
+        texts = _strings(column)
+        ids = [bpe.encode(x) for x in texts]
+        same = [bpe.decode(i) == x.encode() for i, x in zip(ids, texts, strict=True)]
+        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(same, pa.bool_())], ["ids", "n_tokens", "lossless"])
+
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("ids", "n_tokens", "lossless")]
+    coded = F.arrow_udf(run, "struct<ids: binary, n_tokens: bigint, lossless: boolean>")(F.col(text))
+    return docs.select(*kept, coded.alias("_coded")).select(*kept, "_coded.*")

@@ -31,6 +31,10 @@ def _occurrences(hashes: Column, n: int, known: list[int]) -> Column:
     return F.filter(starts, lambda i: _hash_at(hashes, i, n).isin(known))
 
 
+def _string_hash(gram: Column) -> Column:
+    return F.xxhash64(gram, F.lit("words"))
+
+
 def _with_words(n: int):
     return lambda i: F.struct(i.alias("start"), F.lit(n).alias("n"), F.array_join(F.slice("w", i + 1, F.lit(n)), " ").alias("gram"))
 
@@ -114,12 +118,24 @@ def contamination_digest(found: DataFrame) -> DataFrame:
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, max_share: float = 0.0, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows of which more than ``max_share`` of the words are hit; all columns stay, and no row is shuffled.
 
-    Judged in the row: texts stay where they are, and documents without words are kept.
+    Judged in the row: texts stay where they are, and documents without words are kept.  A hit is verified by a second hash, of its words'
+    string, so that 128 bits agree.
     """
     windows = benchmark_windows(benchmark, width)
-    hashed = docs.withColumn("_w", norm_words(F.col(text))).withColumn("_h", F.transform("_w", lambda w: F.xxhash64(w)))
-    bad = F.lit(0).cast("long")
-    spans = [F.transform(_occurrences(F.col("_h"), n, known), _with_end(n)) for n, known in sorted(windows.hashes.items())]
-    if spans:
-        bad = _covered(F.sort_array(F.concat(*spans)))
-    return hashed.where(bad <= F.lit(max_share) * F.size("_w")).drop("_w", "_h")
+    checks = windows.grams.select(_string_hash(F.col("gram"))).collect()
+    strings = [r[0] for r in checks]
+    if not strings:
+        return docs
+
+    def spans(words: Column, hashes: Column) -> Column:
+        def of(n: int, known: list[int]) -> Column:
+            true = lambda i: _string_hash(F.array_join(F.slice(words, i + 1, F.lit(n)), " ")).isin(strings)
+            return F.transform(F.filter(_occurrences(hashes, n, known), true), _with_end(n))
+
+        return F.sort_array(F.concat(*[of(n, known) for n, known in sorted(windows.hashes.items())]))
+
+    # a filter's condition is pushed below projections, so the words are bound inside it, once per row
+    both = F.struct(norm_words(F.col(text)).alias("w"))
+    hashed = F.transform(F.array(both), lambda x: F.struct(x["w"].alias("w"), F.transform(x["w"], lambda w: F.xxhash64(w)).alias("h")))
+    clean = F.transform(hashed, lambda x: _covered(spans(x["w"], x["h"])) <= F.lit(max_share) * F.size(x["w"]))
+    return docs.where(F.get(clean, 0))

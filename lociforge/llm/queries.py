@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociforge.llm import bpe, chat_format, decontaminate, embedding_dedup, html_extract, ngram_join, substring_dedup, toxicity, url_filter
+from lociforge.llm import bpe, chat_format, decontaminate, embedding_dedup, html_extract, ngram_join, secret_scan, substring_dedup, toxicity, url_filter
 
 RULES = (
     url_filter.Rule("block", "com", "/en/"),
@@ -51,6 +51,11 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.chat_digest(chat_format.format_chats(turns.unionByName(extra)))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = secret_scan.fit_forest(secret_scan.labelled_findings())
+    return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"), forest)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontaminate.contamination_digest(found)
