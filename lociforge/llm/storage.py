@@ -7,6 +7,7 @@ survive a lost executor, and rereading them costs less than computing them again
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -33,9 +34,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._lociforge_path = path
+    tidy(spark)
     return out
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark's context cleaner drop the shuffle files of plans that nothing refers to any more.
+
+    It acts when the driver's JVM collects garbage, which a driver that only plans may not do for hours.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def release(df: DataFrame) -> None:
     """Deletes what ``materialize`` wrote for ``df``; later reads of ``df`` fail."""
     path = getattr(df, "_lociforge_path", None)
