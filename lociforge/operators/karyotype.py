@@ -40,9 +40,11 @@ def arm(chrom: Column, start: Column, end: Column, centromeres: Regions, par1: R
     for name, (a, b) in (par1 or {}).items():
         inside = F.when((start < a) | (end > b), F.lit(None)).otherwise("PAR1")
         out = F.when((chrom == name) & (start < b) & (end > a), inside).otherwise(out)
-    for name, (a, b) in centromeres.items():
-        side = F.when(end < a, F.concat(number, F.lit("p"))).when(start > b, F.concat(number, F.lit("q"))).when((start < b) & (end > a), F.lit(None)).otherwise(bare)
-        out = F.when(chrom == name, side).otherwise(out)
+    if centromeres:  # one map instead of a branch per chromosome
+        known = F.create_map(*[y for c, (a, b) in centromeres.items() for y in (F.lit(c), F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")))])
+        cen = F.try_element_at(known, chrom)
+        side = F.when(end < cen["a"], F.concat(number, F.lit("p"))).when(start > cen["b"], F.concat(number, F.lit("q"))).when((start < cen["b"]) & (end > cen["a"]), F.lit(None)).otherwise(bare)
+        out = F.when(cen.isNotNull(), side).otherwise(out)
     return F.when(chrom.startswith("chr"), out)
 
 

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Sequence
-
-import numpy as np
+from functools import lru_cache
 
 MATCH, MISMATCH, GAP_OPEN, GAP_EXTEND = 2, -2, -3, -1
 
@@ -56,6 +55,7 @@ def upper_median(values: Sequence[float]) -> float:
     return sorted(values)[len(values) // 2]
 
 
+@lru_cache(maxsize=4096)
 def align(ref: str, query: str) -> tuple[int, list[tuple[str, int]]]:
     """Global alignment with affine gaps, case ignored: score and run-length operations (M, I: only in the query, D: only in the reference).
 
@@ -65,31 +65,32 @@ def align(ref: str, query: str) -> tuple[int, list[tuple[str, int]]]:
     n, m = len(a), len(b)
     if not n and not m:
         return 0, []
-    low = -(10**9)
-    score = np.full((3, n + 1, m + 1), low, np.int64)
-    back = np.zeros((3, n + 1, m + 1), np.int8)
-    score[0, 0, 0] = 0
-    for i in range(1, n + 1):
-        score[1, i, 0] = GAP_OPEN + GAP_EXTEND * i
-        back[1, i, 0] = 1 if i > 1 else 0
-    for j in range(1, m + 1):
-        score[2, 0, j] = GAP_OPEN + GAP_EXTEND * j
-        back[2, 0, j] = 2 if j > 1 else 0
+    low, first, more = -(10**9), GAP_OPEN + GAP_EXTEND, GAP_EXTEND
+    # rows of the three states' scores: M, D (gap in the query), I (gap in the reference); backs as one number per cell and state
+    sm, sd, si = [0] + [low] * m, [low] * (m + 1), [low] + [GAP_OPEN + GAP_EXTEND * j for j in range(1, m + 1)]
+    backs = [[(0, 0, 2 if j > 1 else 0) for j in range(m + 1)]]
     for i in range(1, n + 1):
+        tm, td, ti = [low] * (m + 1), [low] * (m + 1), [low] * (m + 1)
+        td[0] = GAP_OPEN + GAP_EXTEND * i
+        row = [(0, 1 if i > 1 else 0, 0)]
+        base = a[i - 1]
         for j in range(1, m + 1):
-            step = MATCH if a[i - 1] == b[j - 1] else MISMATCH
-            before = score[:, i - 1, j - 1]
-            k = int(np.argmax(before))
-            score[0, i, j], back[0, i, j] = before[k] + step, k
-            opened, longer = score[0, i - 1, j] + GAP_OPEN + GAP_EXTEND, score[1, i - 1, j] + GAP_EXTEND
-            score[1, i, j], back[1, i, j] = (opened, 0) if opened >= longer else (longer, 1)
-            opened, longer = score[0, i, j - 1] + GAP_OPEN + GAP_EXTEND, score[2, i, j - 1] + GAP_EXTEND
-            score[2, i, j], back[2, i, j] = (opened, 0) if opened >= longer else (longer, 2)
-    state = int(np.argmax(score[:, n, m]))
-    best, i, j, ops = int(score[state, n, m]), n, m, []
+            x, y, z = sm[j - 1], sd[j - 1], si[j - 1]
+            k = 0 if x >= y and x >= z else 1 if y >= z else 2
+            tm[j] = (x, y, z)[k] + (MATCH if base == b[j - 1] else MISMATCH)
+            opened, longer = sm[j] + first, sd[j] + more
+            td[j], d = (opened, 0) if opened >= longer else (longer, 1)
+            opened, longer = tm[j - 1] + first, ti[j - 1] + more
+            ti[j], e = (opened, 0) if opened >= longer else (longer, 2)
+            row.append((k, d, e))
+        backs.append(row)
+        sm, sd, si = tm, td, ti
+    ends = (sm[m], sd[m], si[m])
+    best = max(ends)
+    state, i, j, ops = ends.index(best), n, m, []
     while i or j:
         ops.append("MDI"[state])
-        state, i, j = int(back[state, i, j]), i - (state != 2), j - (state != 1)
+        state, i, j = backs[i][j][state], i - (state != 2), j - (state != 1)
     runs: list[tuple[str, int]] = []
     for op in reversed(ops):
         runs = [*runs[:-1], (op, runs[-1][1] + 1)] if runs and runs[-1][0] == op else [*runs, (op, 1)]

@@ -133,9 +133,9 @@ def near_partners(points: DataFrame, genes: DataFrame, margin: int = MARGIN) ->
     return points.join(wide, (F.col("ref_id") == F.col("_r")) & F.col("pos").between(F.col("_st"), F.col("_en")), "left_semi")
 
 
-def deldup_candidates(splits: DataFrame, min_anchor: int = MIN_ANCHOR) -> DataFrame:
+def deldup_candidates(splits: DataFrame, min_anchor: int = MIN_ANCHOR, max_overlap: int = 100) -> DataFrame:
     """(read_name, kind, start, end): deletions and tandem duplications that two same-strand records of a read imply."""
-    both = pairs(splits).where(f"ref_id0 = ref_id1 and rev0 = rev1 and least(qe0, qe1) - greatest(qs0, qs1) <= 100 and te0 - ts0 > {min_anchor} and te1 - ts1 > {min_anchor}")
+    both = pairs(splits).where(f"ref_id0 = ref_id1 and rev0 = rev1 and least(qe0, qe1) - greatest(qs0, qs1) <= {max_overlap} and te0 - ts0 > {min_anchor} and te1 - ts1 > {min_anchor}")
     dup_a = F.expr("((not rev1 and qe0 < qe1) or (rev0 and qe1 < qe0)) and te0 - ts1 > 1000")
     dup_b = F.expr("((rev1 and qe0 < qe1) or (not rev0 and qe1 < qe0)) and te1 - ts0 > 1000")
     deletion = F.expr("((not rev0 and qe0 < qe1) or (rev0 and qe0 > qe1)) and te0 < ts1")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lociforge.functions import cigar, contig, dna
-from lociforge.operators import coverage, intervals, pileup
+from lociforge.operators import annotation, cohort, coverage, intervals, karyotype, pileup, structural
 from lociforge.sources.views import BIN, CONTIG_LENGTH, alignments, load, with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,7 +104,7 @@ def focal_depth(spark, sf_dir):
     return pileup.focal_depth(alignments(spark, sf_dir), load(spark, sf_dir, "targets")).withColumn("depth", F.round("depth", 6))
 
 
-_MET = f"""(select read_name, aln_no, nm, ord, greatest(least(en, te) - greatest(st, ts), 0) as inside,
+_MET = f"""(select read_name, aln_no, nm, ord, st + (en - st) // 2 as mid, greatest(least(en, te) - greatest(st, ts), 0) as inside,
                    least(en + 5000, te) - greatest(greatest(st - 5000, 0), ts) as anchor
             from (select *, pos0 + 1 as ts, {_TE} as te from aln) a join targets t on a.ref_id = t.ref_id and ts < en + 5000 and te > greatest(st - 5000, 0))"""
 
@@ -231,3 +231,326 @@ _AMINO = "case when codon like '%N%' then ' ' " + " ".join(f"when codon = '{c}'
                   (select string_agg({_AMINO}, '' order by i) from (select i, substr(seq32, (i * 3 + 1)::int, 3) as codon from range(10) t(i))) as aa from aln""")
 def revcomp_translate(spark, sf_dir):
     return alignments(spark, sf_dir).select("read_name", "aln_no", dna.reverse_complement(F.col("seq32")).alias("rc"), dna.translate_codons(F.col("seq32")).alias("aa"))
+
+
+# ---- split reads ------------------------------------------------------------------------------------------------------------------
+
+_SPLITS = f"(select read_name, aln_no, ref_id, qs, qe, ts, te, flag & 16 <> 0 as rev, count(*) over (partition by read_name) as parts from {_QC} where read_name not like '%;%')"
+
+
+def _splits(spark, sf_dir):
+    return structural.split_alignments(alignments(spark, sf_dir))
+
+
+@query(f"select a.read_name, count(*) as pairs from {_SPLITS} a join {_SPLITS} b on a.read_name = b.read_name and a.aln_no < b.aln_no group by 1")
+def split_pairs(spark, sf_dir):
+    return structural.pairs(_splits(spark, sf_dir)).groupBy("read_name").agg(F.count("*").alias("pairs"))
+
+
+_AMBIGUOUS = """(select distinct a.read_name, a.aln_no from splits a join splits b on a.read_name = b.read_name and a.aln_no <> b.aln_no
+    where a.parts > 2 and not (a.ref_id = b.ref_id and least(a.te, b.te) > greatest(a.ts, b.ts))
+      and least(a.qe, b.qe) - greatest(a.qs, b.qs) > least(a.qe - a.qs, b.qe - b.qs) // 2 and least(a.qe, b.qe) - greatest(a.qs, b.qs) > {anchor}
+      and not exists (select 1 from targets t where t.ref_id = a.ref_id and a.ref_id = b.ref_id and a.ts < en + 5000 and a.te > greatest(st - 5000, 0) and b.ts < en + 5000 and b.te > greatest(st - 5000, 0)))"""
+
+
+@query(f"with splits as {_SPLITS} select * from {_AMBIGUOUS.format(anchor=500)}")
+def ambiguous_alignments(spark, sf_dir):
+    return structural.ambiguous(_splits(spark, sf_dir), load(spark, sf_dir, "targets"))
+
+
+# A read's aligned ranges all overlap in this data, so the fusion queries ask for reads of two records, which are never ambiguous.
+_LOCI = f"""(select s.*, coalesce(g.nm, '') as gene, case when g.nm is not null then [{{'ref_id': s.ref_id, 'bin': g.bin, 'gene': g.nm}}]
+                    else list_transform(range(s.ts // 10000, s.te // 10000 + 2), lambda b: {{'ref_id': s.ref_id, 'bin': b::int, 'gene': ''}}) end as loci
+             from (select * from {_SPLITS} where parts = 2) s left join (select read_name, aln_no, arg_min(nm, ord) as nm, arg_min(mid // 10000, ord)::int as bin from {_MET} where anchor > 500 group by 1, 2) g
+                  using (read_name, aln_no))"""
+_FOUND = f"""(select *, (l0.ref_id, l0.bin, l0.gene) > (l1.ref_id, l1.bin, l1.gene) as turned from (
+                select a.read_name, unnest(a.loci) as l0, b.loci as bl, a.gene as gene0, b.gene as gene1, a.qs as qs0, a.qe as qe0, a.ts as ts0, a.te as te0, a.rev as rev0,
+                       b.qs as qs1, b.qe as qe1, b.ts as ts1, b.te as te1, b.rev as rev1
+                from l a join l b on a.read_name = b.read_name and a.aln_no < b.aln_no where a.gene <> '' or b.gene <> ''), unnest(bl) as u(l1) where l0 <> l1)"""
+_ONE_SIDED = [f"G{i}" for i in range(0, 40)]
+_ALLOWED = f"(gene0 <> '' and gene1 <> '' or case when gene0 = '' then gene1 else gene0 end in ({', '.join(repr(g) for g in _ONE_SIDED)}))"
+
+
+def _found(spark, sf_dir):
+    two = _splits(spark, sf_dir).where("parts = 2")
+    return structural.locus_pairs(structural.loci(two, load(spark, sf_dir, "targets")), _ONE_SIDED)
+
+
+@query(f"""
+    with l as {_LOCI}, f as {_FOUND}
+    select a.ref_id as ref0, a.bin as bin0, a.gene as gene0, b.ref_id as ref1, b.bin as bin1, b.gene as gene1, count(distinct read_name) as reads
+    from (select read_name, case when turned then l1 else l0 end as a, case when turned then l0 else l1 end as b from f where {_ALLOWED}) group by all""")
+def fusion_locus_support(spark, sf_dir):
+    out = structural.locus_support(_found(spark, sf_dir))
+    return out.select(F.col("g0.ref_id").alias("ref0"), F.col("g0.bin").alias("bin0"), F.col("g0.gene").alias("gene0"), F.col("g1.ref_id").alias("ref1"), F.col("g1.bin").alias("bin1"), F.col("g1.gene").alias("gene1"), "reads")
+
+
+_SIDE = ", ".join(f"case when turned then {c}1 else {c}0 end as {c}a, case when turned then {c}0 else {c}1 end as {c}b" for c in ("qs", "qe", "ts", "te", "rev"))
+
+
+@query(f"""
+    with l as {_LOCI}, f as {_FOUND},
+    s as (select read_name, case when turned then l1 else l0 end as a, case when turned then l0 else l1 end as b, {_SIDE} from f where {_ALLOWED}),
+    p as (select *, least(qea, qeb) - greatest(qsa, qsb) as overlap_gap,
+            case when qea > qeb then case when reva then tea else tsa end else case when reva then tsa else tea end end as pos0,
+            case when qea > qeb then case when revb then tsb else teb end else case when revb then teb else tsb end end as pos1,
+            case when qea > qeb then case when reva then 'left' else 'right' end else case when reva then 'right' else 'left' end end as dir0,
+            case when qea > qeb then case when revb then 'right' else 'left' end else case when revb then 'left' else 'right' end end as dir1 from s)
+    select a.gene as gene0, a.bin as bin0, b.gene as gene1, b.bin as bin1, read_name, pos0, pos1, dir0, dir1, overlap_gap,
+           greatest(0, pos0 - case when dir0 = 'left' then greatest(overlap_gap, 0) else greatest(-overlap_gap, 0) end) as lo0, pos0 + case when dir0 = 'left' then greatest(-overlap_gap, 0) else greatest(overlap_gap, 0) end as hi0,
+           greatest(0, pos1 - case when dir1 = 'left' then greatest(overlap_gap, 0) else greatest(-overlap_gap, 0) end) as lo1, pos1 + case when dir1 = 'left' then greatest(-overlap_gap, 0) else greatest(overlap_gap, 0) end as hi1
+    from p where qea - qsa - greatest(overlap_gap, 0) >= 100 and qeb - qsb - greatest(overlap_gap, 0) >= 100""")
+def fusion_breakpoints(spark, sf_dir):
+    out = structural.breakpoints(_found(spark, sf_dir), min_anchor=100)
+    return out.select(F.col("g0.gene").alias("gene0"), F.col("g0.bin").alias("bin0"), F.col("g1.gene").alias("gene1"), F.col("g1.bin").alias("bin1"), "read_name", "pos0", "pos1", "dir0", "dir1", "overlap_gap", "lo0", "hi0", "lo1", "hi1")
+
+
+@query()
+def fusion_events(spark, sf_dir):
+    points = structural.breakpoints(_found(spark, sf_dir), min_anchor=100)
+    return structural.fusion_events(points, load(spark, sf_dir, "targets"), min_reads=1)
+
+
+@query("select s.ref_id, s.pos, al0, al1 from sites s where exists (select 1 from targets t where ord <= 20 and t.ref_id = s.ref_id and s.pos between greatest(st - 5000, 0) and en + 5000)")
+def one_sided_partners(spark, sf_dir):
+    return structural.near_partners(load(spark, sf_dir, "sites"), load(spark, sf_dir, "targets").where("ord <= 20"))
+
+
+@query(f"""
+    with s as {_SPLITS},
+    p as (select a.read_name, a.ref_id, a.qe as qe0, b.qe as qe1, a.ts as ts0, a.te as te0, b.ts as ts1, b.te as te1, a.rev as rev0, b.rev as rev1 from s a join s b on a.read_name = b.read_name and a.aln_no < b.aln_no
+          where a.ref_id = b.ref_id and a.rev = b.rev and least(a.qe, b.qe) - greatest(a.qs, b.qs) <= 100000 and a.te - a.ts > 500 and b.te - b.ts > 500),
+    k as (select *, case when (not rev1 and qe0 < qe1 or rev0 and qe1 < qe0) and te0 - ts1 > 1000 then 'A' when (rev1 and qe0 < qe1 or not rev0 and qe1 < qe0) and te1 - ts0 > 1000 then 'B'
+                        when (not rev0 and qe0 < qe1 or rev0 and qe0 > qe1) and te0 < ts1 then 'D' end as k from p)
+    select read_name, ref_id, case k when 'D' then 'del' else 'dup' end as kind, case k when 'A' then ts1 when 'B' then ts0 else te0 end as start, case k when 'A' then te0 when 'B' then te1 else ts1 end as "end" from k where k is not null""")
+def deldup_candidates(spark, sf_dir):
+    return structural.deldup_candidates(_splits(spark, sf_dir), max_overlap=100_000).select("read_name", "ref_id", "kind", "start", "end")
+
+
+@query()
+def deldup_clusters(spark, sf_dir):
+    return structural.deldup_clusters(structural.deldup_candidates(_splits(spark, sf_dir), max_overlap=100_000), min_reads=1)
+
+
+# ---- copy numbers and karyotypes -----------------------------------------------------------------------------------------------------
+
+_FOCAL = f"(select nm, coalesce(bases, 0) / size as depth from (select nm, sum(en - st) as size from targets group by 1) left join (select nm, sum(bases) as bases from {_BASES} group by 1) using (nm))"
+_UPPER = "list_extract(list_sort(list({0})), (count({0}) // 2 + 1)::int)"
+
+
+@query(f"with f as {_FOCAL} select nm, round(depth, 6) as depth, round(greatest(depth / (select {_UPPER.format('depth')} from f where nm not like '%G9%') * 2, 0), 6) as focal from f")
+def cn_focal(spark, sf_dir):
+    depths = pileup.focal_depth(alignments(spark, sf_dir), load(spark, sf_dir, "targets"))
+    return structural.focal_copies(depths, ("G9",)).select("nm", F.round("depth", 6).alias("depth"), F.round("focal", 6).alias("focal"))
+
+
+_BINS = "(select case replace(chrom, 'chr', '') when 'X' then 22 when 'Y' then 23 else try_cast(replace(chrom, 'chr', '') as int) - 1 end as ref_id, st as b_st, en as b_en, coverage from cov_bins)"
+
+
+@query(f"""with b as {_BINS}, g as (select nm, avg(coverage) as depth from b join targets t on b.ref_id = t.ref_id and b_st < en and st < b_en group by 1)
+           select nm, round(depth, 6) as depth, round(greatest(depth / (select {_UPPER.format('coverage')} from b where coverage > 0) * 2, 0), 6) as local from g""")
+def cn_local(spark, sf_dir):
+    number = F.regexp_replace("chrom", "^chr", "")
+    ref_id = F.when(number == "X", 22).when(number == "Y", 23).otherwise(number.try_cast("int") - 1)
+    bins = load(spark, sf_dir, "cov_bins").select(ref_id.cast("int").alias("ref_id"), F.col("st").alias("b_st"), F.col("en").alias("b_en"), "coverage")
+    out = structural.local_copies(bins, load(spark, sf_dir, "targets"))
+    return out.select("nm", F.round("depth", 6).alias("depth"), F.round("local", 6).alias("local"))
+
+
+#: A made-up genome: every autosome has its centromere in the middle, X a pseudo-autosomal region.
+CENTROMERES = {f"chr{c}": (2_000_000, 2_500_000) for c in range(1, 23)}
+PAR1 = {"chrX": (0, 300_000)}
+_SEGMENT = """(select *, case when chrom not in ('chrX', 'chrY') then case when en < 2000000 then replace(chrom, 'chr', '') || 'p' when st > 2500000 then replace(chrom, 'chr', '') || 'q'
+                              when st < 2500000 and en > 2000000 then null else replace(chrom, 'chr', '') end
+                         when chrom = 'chrX' and st < 300000 and en > 0 then case when st < 0 or en > 300000 then null else 'PAR1' end else replace(chrom, 'chr', '') end as segment from cov_bins)"""
+_KNOWN = f"(select * from {_SEGMENT} where segment is not null)"
+
+
+def _segments(spark, sf_dir):
+    return load(spark, sf_dir, "cov_bins").withColumn("segment", karyotype.arm(F.col("chrom"), F.col("st"), F.col("en"), CENTROMERES, PAR1))
+
+
+@query(f"select chrom, st, en, segment from {_SEGMENT}")
+def arm_assignment(spark, sf_dir):
+    return _segments(spark, sf_dir).select("chrom", "st", "en", "segment")
+
+
+_MEDIANS = f"(select segment, count(*) as n, {_UPPER.format('coverage')} as median from {_KNOWN} group by 1)"
+
+
+@query(f"select segment, n, round(median, 6) as median from {_MEDIANS}")
+def arm_medians(spark, sf_dir):
+    return karyotype.arm_medians(_segments(spark, sf_dir)).withColumn("median", F.round("median", 6))
+
+
+@query(f"""
+    with q as (select segment, quantile_cont(coverage, 0.75) - quantile_cont(coverage, 0.25) as iqr from {_KNOWN} group by 1),
+    o as (select *, case when segment similar to '[0-9]+[pq]?' then regexp_extract(segment, '^[0-9]+')::int when segment like 'X%' then 100 when segment like 'Y%' then 101 else 999 end as place from q),
+    k as (select iqr from o where segment <> (select segment from o order by place desc, segment desc limit 1))
+    select round(quantile_cont(iqr, 0.75) - quantile_cont(iqr, 0.25), 6) as iqr_of_iqrs, round(quantile_cont(iqr, 0.5), 6) as median_iqr from k""")
+def arm_spread(spark, sf_dir):
+    out = karyotype.within_segment_spread(_segments(spark, sf_dir))
+    return out.select(F.round("iqr_of_iqrs", 6).alias("iqr_of_iqrs"), F.round("median_iqr", 6).alias("median_iqr"))
+
+
+_HIST = f"""(select bin, width, coalesce(n, 0) as n from (
+       select width, unnest(range(0, floor((top + 2 * width) / width)::int + 1))::int as bin
+       from (select greatest(round(raw), 1) as width from (select (0.88 * (quantile_cont(coverage, 0.85) - quantile_cont(coverage, 0.15)) + 0.06 * quantile_cont(coverage, 0.95)) * 2 * pow(count(*), -1.0 / 3) as raw from {_KNOWN})),
+            (select max(q) as top from (select quantile_cont(coverage, 0.95) as q from {_KNOWN} group by segment)))
+     left join (select floor(coverage / (select greatest(round(raw), 1) from (select (0.88 * (quantile_cont(coverage, 0.85) - quantile_cont(coverage, 0.15)) + 0.06 * quantile_cont(coverage, 0.95)) * 2 * pow(count(*), -1.0 / 3) as raw from {_KNOWN})))::int as bin, count(*) as n
+                from {_KNOWN} group by 1) using (bin))"""
+
+
+@query(f"""
+    with h as {_HIST}, c as (select *, case when n is distinct from lag(n) over (order by bin) then 1 else 0 end as c from h),
+    r as (select run, min(bin) as lo, max(bin) as hi, min(n) as n, min(width) as width from (select *, sum(c) over (order by bin) as run from c) group by run),
+    p as (select *, lag(n) over (order by run) as before, lead(n) over (order by run) as after, max(hi) over () as last from r)
+    select (lo + hi) // 2 as bin, n, round(((lo + hi) // 2 + 0.5) * width, 6) as center from p where before < n and (after is null or after < n) and lo < last""")
+def histogram_peaks(spark, sf_dir):
+    return karyotype.histogram_peaks(karyotype.histogram(_segments(spark, sf_dir))).withColumn("center", F.round("center", 6))
+
+
+_STATES = "50.0, 100.0, 150.0"
+_CN = f"(select segment, median, case when median > 75 and median < 125 then 2 when median > 25 and median < 75 then 1 when median > 125 and median < 175 then 3 when median > 175 then round((median - 100) / 50 + 2)::int when median < 25 then 0 when abs(median - 100) < abs(median - 50) then 2 else 1 end as cn from (select segment, median / (select avg(median) from {_MEDIANS}) * 100 as median from {_MEDIANS}))"
+
+
+def _cn(spark, sf_dir):
+    medians = karyotype.arm_medians(_segments(spark, sf_dir))
+    mean = F.broadcast(medians.agg(F.avg("median").alias("mean")))  # one row
+    scaled = medians.join(mean).select("segment", (F.col("median") / F.col("mean") * 100).alias("median"))
+    return scaled.withColumn("cn", karyotype.copy_number(F.col("median"), F.lit(50.0), F.lit(100.0), F.lit(150.0)))
+
+
+@query(f"select segment, round(median, 6) as median, cn from {_CN}")
+def cn_assignment(spark, sf_dir):
+    return _cn(spark, sf_dir).withColumn("median", F.round("median", 6))
+
+
+@query(f"""
+    with a as (select cn, avg(median) as m, count(*) as n from {_CN} where not regexp_matches(segment, 'X|Y|M|PAR') group by 1),
+    x as (select max(m) filter (where cn = 1) as m1, max(m) filter (where cn = 2) as m2, max(m) filter (where cn = 3) as m3, coalesce(max(n) filter (where cn = 1), 0) as n1, coalesce(max(n) filter (where cn = 3), 0) as n3 from a)
+    select round(case when m1 is not null and m3 is not null then case when n1 >= n3 then (1 - m1 / m2) * 2 else m3 / m2 * 2 - 2 end else coalesce((1 - m1 / m2) * 2, m3 / m2 * 2 - 2) end, 6) as blast_ratio from x""")
+def blast_ratio(spark, sf_dir):
+    return karyotype.blast_ratio(_cn(spark, sf_dir)).withColumn("blast_ratio", F.round("blast_ratio", 6))
+
+
+@query(f"select cn as majority_cn from {_CN} where not regexp_matches(segment, 'X|Y|M|PAR') group by 1 order by count(*) desc, cn limit 1")
+def majority_cn(spark, sf_dir):
+    return karyotype.majority_cn(_cn(spark, sf_dir))
+
+
+@query(f"""
+    with s as {_SEGMENT}, f as (select * from s where segment in (select segment from {_CN} where cn = 2 and not regexp_matches(segment, 'X|Y|M|PAR')) and gc is not null),
+    l as (select coalesce(regr_slope(coverage, gc), 0) as m, coalesce(regr_intercept(coverage, gc), avg(coverage)) as b, count(*) as points from f)
+    select chrom, st, round(case when points >= 3 and gc is not null and coverage > 0 and m * gc + b > 0 then greatest(coverage * (m * 0.41 + b) / (m * gc + b), 0) else coverage end, 5) as corrected from s, l""")
+def gc_linear(spark, sf_dir):
+    bins = _segments(spark, sf_dir)
+    diploid = _cn(spark, sf_dir).where((F.col("cn") == 2) & ~F.col("segment").rlike("X|Y|M|PAR")).select("segment")
+    out = karyotype.gc_correct_linear(bins, bins.join(F.broadcast(diploid), "segment", "left_semi"))  # at most 46 arms
+    return out.select("chrom", "st", F.round("corrected", 5).alias("corrected"))
+
+
+@query()
+def gc_loess(spark, sf_dir):
+    bins = _segments(spark, sf_dir).select(F.lit("s").alias("sample"), "chrom", "st", "coverage", F.col("gc").cast("double").alias("gc"), F.col("segment").isNotNull().alias("fit"))
+    return karyotype.gc_correct_loess(bins)
+
+
+@query()
+def karyotype_calls(spark, sf_dir):
+    return karyotype.call_karyotypes(_segments(spark, sf_dir).withColumn("sample", F.lit("s")))
+
+
+_MAF = f"""(select ref_id, pos, al0, al1, count(*) filter (where base = al0) as ref, count(*) filter (where base = al1) as alt
+           from (select s.*, substr(seq32, ((q0 + pos - t0) % 32 + 1)::int, 1) as base from sites s join {_OPS} o on s.ref_id = o.ref_id and pos >= t0 and pos < t1)
+           group by all having count(*) filter (where base = al0) + count(*) filter (where base = al1) >= 1)"""
+
+
+@query(f"select ref_id, count(*) as sites, count(*) filter (where least(ref, alt) / (ref + alt) > 0.1) as informative, round(avg(least(ref, alt) / (ref + alt)), 6) as mean_maf from {_MAF} group by 1")
+def maf_levels(spark, sf_dir):
+    maf = site_allele_counts(spark, sf_dir)
+    share = F.least("ref", "alt") / (F.col("ref") + F.col("alt"))
+    return maf.groupBy("ref_id").agg(F.count("*").alias("sites"), F.count_if(share > 0.1).alias("informative"), F.round(F.avg(share), 6).alias("mean_maf"))
+
+
+_LAYOUT = f"(select ref_id, pos, al0, al1, case when n > 1 then (i - 1) / (n - 1) else 0.0 end as x, alt / (ref + alt) as baf from (select *, row_number() over (partition by ref_id order by pos, al0, al1) as i, count(*) over (partition by ref_id) as n from {_MAF}))"
+
+
+@query(f"select ref_id, pos, al0, al1, round(x, 6) as x, round(baf, 6) as baf from {_LAYOUT}")
+def baf_layout(spark, sf_dir):
+    return karyotype.baf_layout(site_allele_counts(spark, sf_dir)).withColumns({"x": F.round("x", 6), "baf": F.round("baf", 6)})
+
+
+@query(f"select floor(x * 100)::int as px, floor(baf * 50)::int as py, least(count(*), 5)::int as shade from {_LAYOUT} group by 1, 2")
+def pixel_density(spark, sf_dir):
+    return karyotype.pixel_density(karyotype.baf_layout(site_allele_counts(spark, sf_dir)))
+
+
+# ---- kernels, annotation, cohort -------------------------------------------------------------------------------------------------------
+
+
+@query()
+def nw_align(spark, sf_dir):
+    seqs = alignments(spark, sf_dir).where("aln_no = 1").select("read_name", "seq32", F.concat(F.substring("seq32", 1, 10), F.substring("seq32", 14, 19)).alias("query"))
+    return structural.align_pairs(seqs.withColumnRenamed("seq32", "ref"))
+
+
+@query()
+def consensus(spark, sf_dir):
+    seqs = alignments(spark, sf_dir).select("read_name", "seq32", "aln_no")
+    cut = F.when(F.col("aln_no") % 3 == 0, F.concat(F.substring("seq", 1, 8), F.substring("seq", 11, 22))).otherwise(F.col("seq"))
+    base = Window.partitionBy("read_name").orderBy("aln_no")
+    rows = seqs.withColumn("seq", F.first("seq32").over(base)).select(F.col("read_name").alias("grp"), cut.alias("seq"))
+    return structural.consensus_reads(rows)
+
+
+@query(f"""select gene, sum(en - st + 1)::bigint as cds_len, count(*) as exons, min(strand) as strand from cds group by 1""")
+def gff_longest_cds(spark, sf_dir):
+    cds = load(spark, sf_dir, "cds")
+    mrna = F.concat(F.lit("rna-"), "gene")
+    line = lambda kind, attrs: [F.lit("chr1").alias("seqid"), F.lit("made").alias("source"), F.lit(kind).alias("type"), F.col("st").alias("start"), F.col("en").alias("end"), F.col("strand"), attrs.alias("attributes")]
+    genes = cds.select(*line("gene", F.concat(F.lit("ID=gene-"), "gene", F.lit(";Name="), "gene")))
+    mrnas = cds.select(*line("mRNA", F.concat(F.lit("ID="), mrna, F.lit(".1;Parent=gene-"), "gene"))).unionAll(cds.select(*line("mRNA", F.concat(F.lit("ID="), mrna, F.lit(".2;Parent=gene-"), "gene"))))
+    parts = cds.select(*line("CDS", F.concat(F.lit("ID=c;Parent="), mrna, F.lit(".1"), F.when(F.col("exon") == 0, F.concat(F.lit(","), mrna, F.lit(".2"))).otherwise(F.lit("")))))
+    out = annotation.longest_cds(genes.unionAll(mrnas).unionAll(parts).distinct())
+    return out.groupBy("gene").agg(F.sum(F.col("end") - F.col("start") + 1).alias("cds_len"), F.count("*").alias("exons"), F.min("strand").alias("strand"))
+
+
+_RESULTS = """(select o_custkey as sample, 'G' || (o_orderkey % 7) as gene1, case when o_orderkey % 5 = 0 then '' else 'G' || (o_orderkey % 11) end as gene2,
+                      (o_orderkey * 31 % 5000000)::int as pos1, (o_orderkey % 9)::int as reads, (o_orderkey % 4)::int as bp_reads, o_orderkey as id from orders)"""
+_KEPT = f"(select * from {_RESULTS} where not (gene1 <> '' and gene2 <> '' and least(gene1, gene2) = 'G1' and greatest(gene1, gene2) = 'G2') and reads >= 3 and (bp_reads >= 2 or gene1 like '%G4%' or gene2 like '%G4%'))"
+
+
+def _results(spark, sf_dir):
+    key = F.col("o_orderkey")
+    gene2 = F.when(key % 5 == 0, "").otherwise(F.concat(F.lit("G"), (key % 11).cast("string")))
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_custkey").alias("sample"), F.concat(F.lit("G"), (key % 7).cast("string")).alias("gene1"), gene2.alias("gene2"), (key * 31 % 5000000).cast("int").alias("pos1"), (key % 9).cast("int").alias("reads"),
+        F.array(F.struct((key % 4).cast("int").alias("n_reads"))).alias("breakpoints"), key.alias("id"),
+    )
+
+
+def _kept(spark, sf_dir):
+    return cohort.filter_fusions(_results(spark, sf_dir), blacklist=[("G2", "G1")], special=["G4"], min_reads=3, min_breakpoint_reads=2)
+
+
+@query(f"select sample, id, gene1, gene2, reads, case when gene1 = '' or gene2 = '' then 'one_sided' else 'two_sided' end as kind from {_KEPT}")
+def cohort_fusion_filter(spark, sf_dir):
+    return _kept(spark, sf_dir).select("sample", "id", "gene1", "gene2", "reads", "kind")
+
+
+@query(f"""
+    with k as (select *, case when gene1 = '' or gene2 = '' then 'one_sided' else 'two_sided' end as kind from {_KEPT}),
+    t as (select sample, kind, string_agg(gene1 || ' (' || pos1 || ') :: ' || gene2 || ' (' || reads || ' reads)', '; ' order by id) as txt from k group by 1, 2)
+    select s.sample, coalesce(max(txt) filter (where kind = 'two_sided'), 'MISSING') as fusions, coalesce(max(txt) filter (where kind = 'one_sided'), 'MISSING') as one_sided_fusions
+    from (select distinct sample from {_RESULTS}) s left join t using (sample) group by 1""")
+def cohort_wide(spark, sf_dir):
+    return cohort.wide_table(_results(spark, sf_dir).select("sample").distinct(), _kept(spark, sf_dir))
+
+
+@query("""select c_custkey, 'run' || c_nationkey as run_id, case when c_custkey % 2 = 0 then 'SEQ1' end as sequencer_id, 'lib' || c_custkey as library_id from customer""")
+def header_metadata(spark, sf_dir):
+    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    pm = F.when(F.col("c_custkey") % 2 == 0, "SEQ1").otherwise("NONE")
+    text = F.concat(F.lit("@HD\tVN:1.6\n@RG\tID:other\tLB:lib"), key, F.lit("\tDS:basecall_model=m runid=run"), nation, F.lit("\tPM:"), pm, F.lit("\n@CO\tnote=x"))
+    return annotation.header_metadata(spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", text.alias("header")), "header").select("c_custkey", "run_id", "sequencer_id", "library_id")
