@@ -31,7 +31,7 @@ WIDTH = 5
 GROUPS = 32
 LEAF = 32
 #: Classes of one block that meet in a task.
-PART = 1536
+PART = 512
 #: Shingles held back by a mapper before it writes, and about as many in a range.
 FLUSH, RANGE = 1 << 21, 1 << 21
 
