@@ -301,6 +301,10 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text")
 
 
 def keep_one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the smallest id; of rows that repeat it, one.  Empty texts and null ids stay."""
+    """``docs`` with one document of each component: the smallest id.  Of rows that repeat both id and text one stays; empty texts and null ids all stay."""
     found = jaccard_components(docs, doc, text).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(found, docs[doc] == found["_gone"], "left_anti")
+    kept = docs.join(found, docs[doc] == found["_gone"], "left_anti")
+    repeated = docs.where(F.col(doc).isNotNull()).groupBy(doc).agg(F.count("*").alias("_n")).where("_n > 1")
+    if repeated.isEmpty():
+        return kept
+    return kept.where(F.col(doc).isNotNull()).dropDuplicates([doc, text]).unionAll(kept.where(F.col(doc).isNull()))
