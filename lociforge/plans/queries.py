@@ -98,10 +98,10 @@ def qc_on_target(spark, sf_dir):
     return pileup.qc_on_target(alignments(spark, sf_dir), load(spark, sf_dir, "targets"))
 
 
-@query(f"""select nm, round(coalesce(bases, 0) / size, 6) as depth from (select nm, sum(en - st) as size from targets group by 1)
+@query(f"""select nm, round(coalesce(bases, 0) / size, 10) as depth from (select nm, sum(en - st) as size from targets group by 1)
            left join (select nm, sum(bases) as bases from {_BASES} group by 1) using (nm)""")
 def focal_depth(spark, sf_dir):
-    return pileup.focal_depth(alignments(spark, sf_dir), load(spark, sf_dir, "targets")).withColumn("depth", F.round("depth", 6))
+    return pileup.focal_depth(alignments(spark, sf_dir), load(spark, sf_dir, "targets")).withColumn("depth", F.round("depth", 10))
 
 
 _MET = f"""(select read_name, aln_no, nm, ord, st + (en - st) // 2 as mid, greatest(least(en, te) - greatest(st, ts), 0) as inside,
@@ -117,9 +117,9 @@ def fusion_hit_reads(spark, sf_dir):
 @query(f"""
     with m as {_MET}, s as (select read_name, aln_no, min(ord) as stop from m where anchor > 500 group by 1, 2),
     d as (select nm, sum(inside) as bases from m left join s using (read_name, aln_no) where stop is null or ord <= stop group by 1)
-    select nm, round(coalesce(bases, 0) / (en - st), 6) as depth from targets left join d using (nm)""")
+    select nm, round(coalesce(bases, 0) / (en - st), 10) as depth from targets left join d using (nm)""")
 def gene_depth(spark, sf_dir):
-    return pileup.gene_depth(alignments(spark, sf_dir), load(spark, sf_dir, "targets")).withColumn("depth", F.round("depth", 6))
+    return pileup.gene_depth(alignments(spark, sf_dir), load(spark, sf_dir, "targets")).withColumn("depth", F.round("depth", 10))
 
 
 @query(f"select read_name, aln_no, qs, qe, ts, te, flag & 16 <> 0 as rev from {_QC}")
@@ -338,10 +338,10 @@ _FOCAL = f"(select nm, coalesce(bases, 0) / size as depth from (select nm, sum(e
 _UPPER = "list_extract(list_sort(list({0})), (count({0}) // 2 + 1)::int)"
 
 
-@query(f"with f as {_FOCAL} select nm, round(depth, 6) as depth, round(greatest(depth / (select {_UPPER.format('depth')} from f where nm not like '%G9%') * 2, 0), 6) as focal from f")
+@query(f"with f as {_FOCAL} select nm, round(depth, 10) as depth, round(greatest(depth / (select {_UPPER.format('depth')} from f where nm not like '%G9%') * 2, 0), 10) as focal from f")
 def cn_focal(spark, sf_dir):
     depths = pileup.focal_depth(alignments(spark, sf_dir), load(spark, sf_dir, "targets"))
-    return structural.focal_copies(depths, ("G9",)).select("nm", F.round("depth", 6).alias("depth"), F.round("focal", 6).alias("focal"))
+    return structural.focal_copies(depths, ("G9",)).select("nm", F.round("depth", 10).alias("depth"), F.round("focal", 10).alias("focal"))
 
 
 _BINS = "(select case replace(chrom, 'chr', '') when 'X' then 22 when 'Y' then 23 else try_cast(replace(chrom, 'chr', '') as int) - 1 end as ref_id, st as b_st, en as b_en, coverage from cov_bins)"
