@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lociforge.functions import cigar, contig, dna
-from lociforge.operators import annotation, cohort, coverage, intervals, karyotype, pileup, structural
+from lociforge.operators import annotation, cohort, coverage, genotype, intervals, karyotype, pileup, structural
 from lociforge.sources.views import BIN, CONTIG_LENGTH, alignments, load, with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +128,7 @@ def query_coords(spark, sf_dir):
     return aln.select("read_name", "aln_no", cigar.query_coords(F.col("pos0"), F.col("cigar"), F.col("flag")).alias("x")).select("read_name", "aln_no", "x.*")
 
 
+_AA = "case when codon like '%N%' then ' ' " + " ".join(f"when codon = '{c}' then '{a}'" for c, a in sorted(dna.CODONS.items())) + " else 'X' end"
 _D1 = f"{_M1} + c_m1"
 _CDS_OPS = f"""(select read_name, aln_no, ref_id, seq32, t0, t1, q0, false as gap from {_OPS}
                union all select read_name, aln_no, ref_id, seq32, {_D1}, {_D1} + c_d, 0, true from aln where c_d > 0)"""
@@ -187,6 +188,31 @@ def phasing(spark, sf_dir):
     return pileup.phase(_calls(spark, sf_dir), _pileup(spark, sf_dir))
 
 
+#: Made-up star alleles.
+_STARS = {"*2": [2], "*3A": [5, 11], "*3B": [5], "*4": [20]}
+
+
+@query()
+def genotypes(spark, sf_dir):
+    calls, pile = _calls(spark, sf_dir), _pileup(spark, sf_dir)
+    wanted = calls.where(F.col("pos").isin([p for loci in _STARS.values() for p in loci]))
+    return genotype.genotypes(calls, pileup.phase(wanted, pile), _STARS)
+
+
+@query(f"""
+    with c as {_CALLS}, g as (select gene, sum(en - st + 1)::int as n from cds group by 1),
+    p as (select gene, n, unnest(range(1, n + 1)) as pos from g),
+    b as (select p.gene, p.pos, substr('ACGT', ((p.pos - 1) % 4 + 1)::int, 1) as was, coalesce(c.alt, substr('ACGT', ((p.pos - 1) % 4 + 1)::int, 1)) as now from p left join c on c.gene = p.gene and c.pos = p.pos
+          where p.gene in (select gene from c)),
+    k as (select gene, (pos - 1) // 3 + 1 as i, string_agg(was, '' order by pos) as w, string_agg(now, '' order by pos) as x from b group by 1, 2),
+    a as (select gene, i, (select {_AA.replace("codon", "w")}) as a0, (select case when x like '%-%' then '-' else {_AA.replace("codon", "x")} end) as a1 from k)
+    select gene, coalesce(string_agg(a0 || i || a1, ',' order by i) filter (where a0 <> a1), '') as aa_changes from a group by 1""")
+def aa_changes(spark, sf_dir):
+    size = load(spark, sf_dir, "cds").groupBy("gene").agg(F.sum(F.col("en") - F.col("st") + 1).cast("int").alias("n"))
+    refs = size.select("gene", F.substring(F.repeat(F.lit("ACGT"), (F.floor(F.col("n") / 4) + 1).cast("int")), F.lit(1), F.col("n")).alias("seq"))
+    return genotype.amino_changes(_calls(spark, sf_dir), refs).select("gene", F.array_join("aa_changes", ",").alias("aa_changes"))
+
+
 _REGIONS = "(select ref_id, st, en, nm, en as e from targets where ord <= 60)"
 _INDELS = f"""(select nm, t as pos, len as length, count(*) as n from (
                  select ref_id, pos0 + 1 + c_m1 + c_d + c_m2 as t, c_i as len, 'I' as op from aln where c_i > 0

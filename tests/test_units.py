@@ -134,3 +134,25 @@ def test_streaming_counts(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(tuple, spark.table("counts").collect())) == [(0, 0, 1), (0, 1, 2)]
+
+
+def test_star_alleles():
+    from lociforge.operators.genotype import star_alleles
+
+    stars = {"*3A": [460, 719], "*3B": [460], "*2": [238]}
+    calls = [(460, "G", "A", 0.5), (719, "A", "G", 0.5)]
+    assert star_alleles(calls, {(460, 719): "alt/alt"}, stars) == ("*3A/*1", [])
+    assert star_alleles(calls, {(460, 719): None}, stars) == ("*3B/*1", [719])
+    assert star_alleles([(238, "G", "C", 0.95)], {}, stars) == ("*2/*2", [])
+    assert star_alleles([(238, "G", "-", 0.95)], {}, stars) == ("*1/*1", [238])
+
+
+def test_result_document_runs(spark):
+    from lociforge.plans import pipeline
+    from lociforge.sources.views import BIN, CONTIG_LENGTH, alignments, load
+    from tests.conftest import SF
+
+    inputs = pipeline.Inputs(alignments(spark, SF), load(spark, SF, "targets"), load(spark, SF, "repeats"), load(spark, SF, "sites"), CONTIG_LENGTH)
+    doc = pipeline.result_document(spark, inputs, pipeline.Thresholds(bin_width=BIN, site_depth=1, fusion_reads=1))
+    assert not sinks.validate(doc) and doc["qc"]["reads_aligned"] > 0 and doc["karyotype"]["karyotype"]
+    assert "## Karyotype" in sinks.markdown_report(doc)
