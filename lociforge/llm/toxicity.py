@@ -73,8 +73,21 @@ def fit_arrays(rows: list[tuple[bytes, int]], terms=IDENTITY_TERMS, max_features
     base = float(np.log(share / (1 - share)))
     if len(y) == 0 or y.min() == y.max():
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), base if len(y) else -3.0)
-    keys, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    # features of few rows go first, on one sorted copy, so that the rest is small
+    every = np.concatenate(sets)
+    every.sort()
+    head = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+    keys = every[head[np.diff(np.r_[head, len(every)]) >= min_rows]]
+    keys = np.union1d(keys, group)
+    del every, head
+    owner, inverse = [], []
+    for i, found in enumerate(sets):
+        at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+        at = at[keys[at] == found]
+        inverse.append(at)
+        owner.append(np.full(len(at), i))
+    inverse, owner = np.concatenate(inverse), np.concatenate(owner)
+    counts = np.bincount(inverse, minlength=len(keys))
     pos = np.bincount(inverse, y[owner], minlength=len(keys))
     expected, rate = counts * share, counts - pos
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -86,7 +99,7 @@ def fit_arrays(rows: list[tuple[bytes, int]], terms=IDENTITY_TERMS, max_features
     wanted = np.union1d(keys[chosen], group)
     column = np.searchsorted(wanted, keys)
     column[column == len(wanted)] = 0
-    known = wanted[column] == keys
+    known = wanted[column] == keys if len(wanted) else np.zeros(len(keys), bool)
     x = np.zeros((len(sets), len(wanted) + 1))
     x[:, -1] = 1
     hit = known[inverse]
@@ -117,7 +130,7 @@ def held_out(doc: Column) -> Column:
     return F.coalesce(F.crc32(doc.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, doc: str = "doc_id", text: str = "text", label: str = "toxic", **how) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, doc: str = "doc_id", text: str = "text", label: str = "toxic", **how) -> ToxicityModel:
     """Fits on at most about ``max_rows`` labelled rows outside ``held_out``, taken by a hash of the id.
 
     ``max_rows`` bounds what comes to the driver (their distinct feature hashes, 8 bytes each); the share taken is
