@@ -170,6 +170,27 @@ def suppress_close(bins: list[int], distance: int = 3) -> list[int]:
     return kept
 
 
+def suppressed_peaks(peaks: DataFrame, distance: int = 3) -> DataFrame:
+    """(bin, n) of ``histogram_peaks`` after ``suppress_close``, tallest first and lower bins first on ties."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        kept = suppress_close([int(b) for b in frame.sort_values(["n", "bin"], ascending=[False, True]).bin], distance)
+        return frame[frame.bin.isin(kept)][["bin", "n"]]
+
+    return peaks.select("bin", F.col("n").cast("long").alias("n")).groupBy().applyInPandas(run, "bin int, n long")
+
+
+def coverage_levels(segments: DataFrame, group: str = "sample") -> DataFrame:
+    """(sample, rank, level, n) of ``find_levels``; a sample's few thousand bins are one task."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        levels = find_levels({name: part.coverage.to_numpy(float) for name, part in frame.groupby("segment")})
+        return pd.DataFrame({group: [frame[group].iloc[0]] * len(levels), "rank": range(1, len(levels) + 1), "level": [float(v) for v, _ in levels], "n": [int(n) for _, n in levels]})
+
+    known = segments.where("segment is not null").select(group, "segment", "coverage")
+    return known.groupBy(group).applyInPandas(run, f"{group} string, rank int, level double, n long")
+
+
 def _upper(values: np.ndarray) -> float:
     return float(np.sort(values)[len(values) // 2])
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lociforge.functions import cigar, contig, dna
 from lociforge.operators import annotation, cohort, coverage, genotype, intervals, karyotype, pileup, structural
+from lociforge.sources import config, fasta
 from lociforge.sources.views import BIN, CONTIG_LENGTH, alignments, load, with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -487,6 +488,23 @@ def karyotype_calls(spark, sf_dir):
     return karyotype.call_karyotypes(_segments(spark, sf_dir).withColumn("sample", F.lit("s")))
 
 
+@query()
+def level_suppression(spark, sf_dir):
+    """Histogram peaks that are kept, tallest first, at least three bins apart; there are at most a few hundred peaks."""
+    return karyotype.suppressed_peaks(karyotype.histogram_peaks(karyotype.histogram(_segments(spark, sf_dir))))
+
+
+@query()
+def karyotype_levels(spark, sf_dir):
+    """Coverage levels per sample, in the order of the histogram's heights."""
+    return karyotype.coverage_levels(_segments(spark, sf_dir).withColumn("sample", F.lit("s")))
+
+
+@query()
+def karyotype_string(spark, sf_dir):
+    return karyotype_calls(spark, sf_dir).select("sample", "karyotype", "iscn").distinct()
+
+
 _MAF = f"""(select ref_id, pos, al0, al1, count(*) filter (where base = al0) as ref, count(*) filter (where base = al1) as alt
            from (select s.*, substr(seq32, ((q0 + pos - t0) % 32 + 1)::int, 1) as base from sites s join {_OPS} o on s.ref_id = o.ref_id and pos >= t0 and pos < t1)
            group by all having count(*) filter (where base = al0) + count(*) filter (where base = al1) >= 1)"""
@@ -542,6 +560,38 @@ def gff_longest_cds(spark, sf_dir):
     return out.groupBy("gene").agg(F.sum(F.col("end") - F.col("start") + 1).alias("cds_len"), F.count("*").alias("exons"), F.min("strand").alias("strand"))
 
 
+@query("select gene, 'chr' || (ref_id + 1) as seqid, min(st) as st, min(en) as en from cds where exon = 0 and gene in ('G1', 'G2', 'G30') group by 1, 2")
+def partner_bounds(spark, sf_dir):
+    return config.gene_bounds(_gene_lines(spark, sf_dir), ["G1", "G2", "G30", "absent"])
+
+
+@query("""select distinct s.ref_id, s.pos, 'T' || (pos % 3) as gene from sites s
+          where pos % 3 = 2 or exists (select 1 from cds c where exon = 0 and c.ref_id = s.ref_id and s.pos between greatest(st - 50000, 0) and en + 50000
+                                       and gene in (case when pos % 3 = 0 then 'G1' else 'G2' end, case when pos % 3 = 0 then 'G30' else 'G3' end))""")
+def listed_partners(spark, sf_dir):
+    points = load(spark, sf_dir, "sites").select("ref_id", "pos", F.concat(F.lit("T"), F.col("pos") % 3).alias("gene"), F.concat(F.lit("chr"), F.col("ref_id") + 1).alias("seqid")).distinct()
+    partners = {"T0": ["G1", "G30"], "T1": ["G2", "G3"]}
+    return config.near_listed(points, config.gene_bounds(_gene_lines(spark, sf_dir), ["G1", "G2", "G3", "G30"]), partners, 50000).select("ref_id", "pos", "gene")
+
+
+def _gene_lines(spark, sf_dir):
+    cds = load(spark, sf_dir, "cds").where("exon = 0")
+    return cds.select(F.concat(F.lit("chr"), F.col("ref_id") + 1).alias("seqid"), F.lit("gene").alias("type"), F.col("st").alias("start"), F.col("en").alias("end"), F.concat(F.lit("ID=gene-"), "gene", F.lit(";Name="), "gene").alias("attributes"))
+
+
+@query("""
+    with c as (select ref_id, row_number() over (partition by ref_id order by chunk_no) - 1 as k, rpad(seq, 400, 'N') as seq from refseq),
+    r as (select s_suppkey as region, (s_suppkey % 24)::int as ref_id, (s_suppkey * 37 % 2500)::int as st, (s_suppkey * 37 % 2500 + s_nationkey * 60)::int as en from supplier)
+    select region, coalesce(string_agg(substr(seq, (greatest(st - k * 400, 0) + 1)::int, (least(en - k * 400, 400) - greatest(st - k * 400, 0))::int), '' order by k), '') as seq
+    from r left join c on r.ref_id = c.ref_id and st < (k + 1) * 400 and en > k * 400 and en > st group by region""")
+def reference_regions(spark, sf_dir):
+    place = Window.partitionBy("ref_id").orderBy("chunk_no")
+    chunks = load(spark, sf_dir, "refseq").select("ref_id", (F.row_number().over(place) - 1).alias("chunk_no"), F.rpad("seq", 400, "N").alias("seq"))
+    key = F.col("s_suppkey")
+    regions = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(key.alias("region"), (key % 24).cast("int").alias("ref_id"), (key * 37 % 2500).cast("int").alias("st"), (key * 37 % 2500 + F.col("s_nationkey") * 60).cast("int").alias("en"))
+    return fasta.region_sequences(chunks, regions, 400, "ref_id").select("region", "seq")
+
+
 _RESULTS = """(select o_custkey as sample, 'G' || (o_orderkey % 7) as gene1, case when o_orderkey % 5 = 0 then '' else 'G' || (o_orderkey % 11) end as gene2,
                       (o_orderkey * 31 % 5000000)::int as pos1, (o_orderkey % 9)::int as reads, (o_orderkey % 4)::int as bp_reads, o_orderkey as id from orders)"""
 _KEPT = f"(select * from {_RESULTS} where not (gene1 <> '' and gene2 <> '' and least(gene1, gene2) = 'G1' and greatest(gene1, gene2) = 'G2') and reads >= 3 and (bp_reads >= 2 or gene1 like '%G4%' or gene2 like '%G4%'))"
