@@ -63,10 +63,11 @@ def query_coords(pos0: Column, cigar: Column, flag: Column) -> Column:
     return F.struct(F.when(rev, length - qe).otherwise(qs).alias("qs"), F.when(rev, length - qs).otherwise(qe).alias("qe"), ts.alias("ts"), (ts + span(cigar)).alias("te"), rev.alias("rev"))
 
 
-def op_intervals(alignments: DataFrame, ops: tuple[str, ...], *keep: str) -> DataFrame:
+def op_intervals(alignments: DataFrame, ops: tuple[str, ...], *keep: str, seq: str | None = None) -> DataFrame:
     """A row per operation of the kinds named: ``keep`` columns, op, its length, reference start (1-based), end, and query offset.
 
     Running offsets come from prefix sums within the row's own array, so nothing is shuffled and bases are never exploded.
+    With a ``seq`` column, ``bases`` is the operation's piece of it, cut before the rows are dealt out.
     """
     zero = F.struct(F.lit(0).alias("t"), F.lit(0).alias("q"), F.array().cast("array<struct<op:string,len:int,t:int,q:int>>").alias("out"))
 
@@ -79,7 +80,10 @@ def op_intervals(alignments: DataFrame, ops: tuple[str, ...], *keep: str) -> Dat
             F.when(x["op"].isin(*ops), F.concat(s["out"], F.array(row))).otherwise(s["out"]).alias("out"),
         )
 
-    rows = alignments.select(*keep, F.col("pos0").alias("_pos0"), F.explode(F.aggregate("cigar", zero, step, lambda s: s["out"])).alias("x"))
+    placed = F.aggregate("cigar", zero, step, lambda s: s["out"])
+    if seq is not None:
+        placed = F.transform(placed, lambda x: x.withField("bases", F.substring(F.col(seq), x["q"] + 1, x["len"])))
+    rows = alignments.select(*keep, F.col("pos0").alias("_pos0"), F.explode(placed).alias("x"))
     start = F.col("_pos0") + 1 + F.col("x.t")
     end = start + F.when(F.col("x.op").isin(*REFERENCE), F.col("x.len")).otherwise(0)
-    return rows.select(*keep, F.col("x.op").alias("op"), F.col("x.len").alias("len"), start.alias("t_start"), end.alias("t_end"), F.col("x.q").alias("q_start"))
+    return rows.select(*keep, F.col("x.op").alias("op"), F.col("x.len").alias("len"), start.alias("t_start"), end.alias("t_end"), F.col("x.q").alias("q_start"), *([F.col("x.bases")] if seq is not None else []))

@@ -13,9 +13,21 @@ TARGET_BIN = 100_000
 MARGIN = 5000
 
 
-def base_at(seq32: Column, query_offset: Column) -> Column:
-    """The base at a query offset of a read whose sequence repeats ``seq32``."""
-    return F.substring(seq32, query_offset % 32 + 1, F.lit(1))
+def base_at(bases: Column, offset: Column) -> Column:
+    """The letter at an offset of ``bases``, which repeat if they are shorter; null without bases."""
+    return F.substring(bases, offset % F.nullif(F.length(bases), F.lit(0)) + 1, F.lit(1))
+
+
+def _ops_with_bases(alignments: DataFrame, ops: tuple[str, ...], *keep: str) -> DataFrame:
+    """``op_intervals`` with ``bases`` and the offset ``q_start`` of the operation's first one in them.
+
+    Of a read's ``seq`` an operation carries its own piece only, so the joins that follow move each base once; of a ``seq32``, a unit that the
+    read's sequence repeats, the unit.
+    """
+    mapped = alignments.where("ref_id >= 0")
+    if "seq" in alignments.columns:
+        return cigar.op_intervals(mapped, ops, *keep, seq="seq").withColumn("q_start", F.lit(0))
+    return cigar.op_intervals(mapped, ops, *keep, "seq32").withColumnRenamed("seq32", "bases")
 
 
 def site_allele_counts(alignments: DataFrame, sites: DataFrame, min_depth: int = 20, width: int = SITE_BIN) -> DataFrame:
@@ -23,9 +35,9 @@ def site_allele_counts(alignments: DataFrame, sites: DataFrame, min_depth: int =
 
     Matching operations are joined as intervals with sites as points; no base is exploded.  All mapped records count.
     """
-    ops = cigar.op_intervals(alignments.where("ref_id >= 0"), cigar.PAIRED, "ref_id", "seq32").select("ref_id", "seq32", "t_start", "t_end", "q_start")
+    ops = _ops_with_bases(alignments, cigar.PAIRED, "ref_id").select("ref_id", "bases", "t_start", "t_end", "q_start")
     hits = point_join(sites.select("ref_id", "pos", "al0", "al1"), ops, "ref_id", "pos", "t_start", "t_end", width)
-    base = base_at(F.col("seq32"), F.col("q_start") + F.col("pos") - F.col("t_start"))
+    base = base_at(F.col("bases"), F.col("q_start") + F.col("pos") - F.col("t_start"))
     counted = hits.withColumn("base", base).groupBy("ref_id", "pos", "al0", "al1").agg(F.count_if(F.col("base") == F.col("al0")).alias("ref"), F.count_if(F.col("base") == F.col("al1")).alias("alt"))
     return counted.where(F.col("ref") + F.col("alt") >= min_depth)
 
@@ -91,7 +103,7 @@ def cds_pileup(alignments: DataFrame, cds: DataFrame, width: int = TARGET_BIN) -
     """(gene, cds_pos, read_name, base): each record's base or gap (``-``) at each place of a gene's coding sequence, on its strand.
 
     Exons are 1-based and closed, offsets their running lengths; places are 0-based.  Operations are cut to the exons before they
-    are exploded, so rows are bounded by the coding bases that reads cover.
+    are exploded, so rows are bounded by the coding bases that reads cover.  A record without a sequence has base N.
     """
     from pyspark.sql import Window
 
@@ -99,11 +111,11 @@ def cds_pileup(alignments: DataFrame, cds: DataFrame, width: int = TARGET_BIN) -
     size = F.col("en") - F.col("st") + 1
     exons = cds.withColumn("offset", F.coalesce(F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("cds_len", F.sum(size).over(Window.partitionBy("gene")))
     exons = exons.select("ref_id", "gene", "st", (F.col("en") + 1).alias("past"), "strand", "offset", "cds_len")
-    ops = cigar.op_intervals(alignments.where("ref_id >= 0"), (*cigar.PAIRED, "D"), "ref_id", "read_name", "aln_no", "seq32")
+    ops = _ops_with_bases(alignments, (*cigar.PAIRED, "D"), "ref_id", "read_name", "aln_no")
     hits = overlap_join(ops, exons, "ref_id", "t_start", "t_end", "st", "past", width)
     place = F.explode(F.sequence(F.greatest("t_start", "st"), F.least("t_end", "past") - 1))
     rows = hits.withColumn("t", place)
-    base = F.when(F.col("op") == "D", "-").otherwise(base_at(F.col("seq32"), F.col("q_start") + F.col("t") - F.col("t_start")))
+    base = F.when(F.col("op") == "D", "-").otherwise(F.coalesce(base_at(F.col("bases"), F.col("q_start") + F.col("t") - F.col("t_start")), F.lit("N")))
     flipped = F.when(F.col("strand") == "-", F.translate(base, "ACGT", "TGCA")).otherwise(base)
     forward = F.col("offset") + F.col("t") - F.col("st")
     return rows.select("gene", F.when(F.col("strand") == "-", F.col("cds_len") - forward - 1).otherwise(forward).cast("int").alias("cds_pos"), "read_name", "aln_no", flipped.alias("base"))
