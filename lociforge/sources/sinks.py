@@ -92,11 +92,3 @@ def html_report(markdown: str) -> str:
         elif line:
             out.append(f"<p>{escape(line)}</p>")
     return "<!DOCTYPE html><html><body>" + "\n".join([*out, "</table>" * table]) + "</body></html>"
-
-
-def scatter_svg(points: Sequence[tuple[float, float]], title: str = "", width: int = 600, height: int = 300) -> str:
-    """A scatter plot of at most a few thousand collected points; a constant axis is drawn in the middle."""
-    xs, ys = [p[0] for p in points] or [0.0], [p[1] for p in points] or [0.0]
-    scale = lambda v, lo, hi, size: size / 2 if hi == lo else 20 + (v - lo) / (hi - lo) * (size - 40)
-    dots = "".join(f'<circle cx="{scale(x, min(xs), max(xs), width):.1f}" cy="{height - scale(y, min(ys), max(ys), height):.1f}" r="2"/>' for x, y in points)
-    return f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{height}"><text x="20" y="15">{title}</text>{dots}</svg>'
