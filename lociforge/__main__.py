@@ -114,7 +114,10 @@ def main(argv: Sequence[str] | None = None) -> int:
         thresholds = pipeline.Thresholds(**{k: getattr(args, k) for k in vars(pipeline.Thresholds())})
         given = inputs(spark, args)
         if args.command == "pipeline":
-            sinks.write_result(pipeline.result_document(spark, given, thresholds), args.out, args.force)
+            document = pipeline.result_document(spark, given, thresholds)
+            sinks.write_result(document, args.out, args.force)
+            found = document["breakpoint_consensus"] or []
+            sinks.write_fasta([(f"{c['gene0']}:{c['pos0']}-{c['gene1']}:{c['pos1']} reads={c['n_reads']}", c["consensus"]) for c in found], f"{args.out.removesuffix('.json')}.breakpoints.fa", args.force)
         else:
             sinks.write_tsv(table(args.command, given, thresholds), args.out, args.force)
     return 0

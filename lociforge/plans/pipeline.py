@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociforge.operators import coverage, karyotype, pileup, structural
+from lociforge.operators import coverage, junctions, karyotype, pileup, structural
 
 
 @dataclass(frozen=True)
@@ -66,16 +66,27 @@ def segments(depth: DataFrame, width: int, centromeres: Mapping[str, tuple[int,
     return placed.withColumn("segment", karyotype.arm(F.col("chrom"), F.col("st"), F.col("en"), centromeres))
 
 
+def breakpoint_consensus(reads: DataFrame, fusions: Sequence[Mapping], min_reads: int) -> list[dict]:
+    """Consensus across each called fusion's breakpoint; none where alignments carry no ``seq``.  A sample's called events go into the plan."""
+    if "seq" not in reads.columns or not fusions:
+        return []
+    rows = [(str(i), f["g0"]["ref_id"], f["pos0"], f["dir0"], f["g1"]["ref_id"], f["pos1"], f["dir1"], f["g0"]["gene"], f["g1"]["gene"]) for i, f in enumerate(fusions)]
+    events = reads.sparkSession.createDataFrame(rows, "event string, ref0 int, pos0 int, dir0 string, ref1 int, pos1 int, dir1 string, gene0 string, gene1 string")
+    found = junctions.junction_consensus(junctions.junction_sequences(reads, events), events, min_reads)
+    return [r.asDict() for r in events.select("event", "gene0", "pos0", "gene1", "pos1").join(found, "event").orderBy(F.col("event").cast("int")).drop("event").collect()]
+
+
 def result_document(spark: SparkSession, inputs: Inputs, t: Thresholds = Thresholds()) -> dict:
     """One sample's result: what is collected are calls and per-gene figures, never reads or bins."""
     tables = analyses(inputs, t)
     rows = lambda df: [r.asDict(recursive=True) for r in df.collect()]
     calls = rows(karyotype.call_karyotypes(segments(tables["coverage"], t.bin_width, inputs.centromeres).withColumn("sample", F.lit("sample"))))
+    fusions = rows(tables["fusions"])
     stamp = spark.range(1).select(F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")).first()[0]
     return {
         "version": "1", "timestamp": stamp, "qc": rows(tables["qc"])[0] | rows(tables["reads_aligned"])[0],
-        "fusions": rows(tables["fusions"]),
+        "fusions": fusions,
         "karyotype": {"karyotype_string": calls[0]["karyotype"], "iscn_string": calls[0]["iscn"], "blast_ratio": calls[0]["blast_ratio"], "karyotype": {c["segment"]: c["cn"] for c in calls}, "medians": {c["segment"]: c["median"] for c in calls}} if calls else None,
         "cnv": {"focal": {r["nm"]: r["focal"] for r in rows(tables["focal"])}, "variants": rows(tables["deldups"])},
-        "itd": rows(tables["itd"]),
+        "itd": rows(tables["itd"]), "breakpoint_consensus": breakpoint_consensus(inputs.alignments, fusions, t.fusion_reads) or None,
     }

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from lociforge.operators import junctions
+from lociforge.plans.pipeline import breakpoint_consensus
 
 SCHEMA = "read_name string, aln_no int, ref_id int, pos0 int, flag int, cigar array<struct<op:string,len:int>>, seq string"
 COMPLEMENT = str.maketrans("ACGT", "TGCA")
@@ -40,3 +41,12 @@ def test_named_in_the_other_order(spark):
     events = spark.createDataFrame([("e", 1, 5001, "right", 0, 1031, "left")], "event string, ref0 int, pos0 int, dir0 string, ref1 int, pos1 int, dir1 string")
     got = junctions.junction_sequences(spark.createDataFrame(rows, SCHEMA), events, flank=5).collect()
     assert [(r.left, r.inserted, r.right, r.left_gene) for r in got] == [(a[-5:], "", b[:5], 1)]
+
+
+def test_consensus_of_called_fusions(spark):
+    a, b = "ACGTTGCAAC" * 3, "TTGACCATGG" * 3
+    rows = [x for i in range(3) for x in [(f"r{i}", 1, 0, 1000, 0, [("M", 30), ("S", 30)], a + b), (f"r{i}", 2, 1, 5000, 2048, [("S", 30), ("M", 30)], None)]]
+    called = [{"g0": {"ref_id": 0, "gene": "L"}, "g1": {"ref_id": 1, "gene": ""}, "pos0": 1031, "pos1": 5001, "dir0": "left", "dir1": "right"}]
+    reads = spark.createDataFrame(rows, SCHEMA)
+    assert [(c["gene0"], c["bracketed"], c["n_reads"]) for c in breakpoint_consensus(reads, called, 3)] == [("L", f"{a}(L)|(){b}", 3)]
+    assert breakpoint_consensus(reads, [], 3) == breakpoint_consensus(reads.drop("seq"), called, 3) == []
