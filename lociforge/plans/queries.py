@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lociforge.functions import cigar, contig, dna
+from lociforge.functions import cigar, contig, dna, texts
 from lociforge.operators import annotation, cohort, coverage, genotype, intervals, karyotype, pileup, structural
 from lociforge.sources import config, fasta
 from lociforge.sources.views import BIN, CONTIG_LENGTH, alignments, load, with_views
@@ -624,6 +624,22 @@ def cohort_wide(spark, sf_dir):
     return cohort.wide_table(_results(spark, sf_dir).select("sample").distinct(), _kept(spark, sf_dir))
 
 
+@query(f"""
+    select id, gene1 || case when pos1 <> 0 then ' (chr1 ~' || ((pos1 + 5000) // 1000000) || '.' || lpad(((pos1 + 5000) // 10000 % 100)::varchar, 2, '0') || 'Mbp)' else '' end as gene_text,
+           'chr1:' || pos1 || case when reads % 2 = 0 then '<<' else '>>' end || ' -- chr2:' || id || '>>  (' || reads || ' reads' || case when bp_reads - 1 > 0 then ' [' || (bp_reads - 1) || 'bp hom]' when bp_reads < 1 then ' [1bp ins]' else '' end || ')' as breakpoint_text,
+           case when id % 3 = 0 then '?' else 'chr1' end || ': ' || pos1 || ' - ' || (pos1 + id) || ' (' || id || ' nt): ' || reads || ' supporting reads' as span_text,
+           round(case when 6 > reads then reads / (6 - reads) else 0 end, 6) as ratio
+    from {_RESULTS}""")
+def result_texts(spark, sf_dir):
+    x = _results(spark, sf_dir).withColumn("gap", F.col("breakpoints")[0]["n_reads"] - 1)
+    reads, pos, key = F.col("reads"), F.col("pos1"), F.col("id")
+    side = texts.side_text(F.lit("chr1"), pos, F.when(reads % 2 == 0, "left").otherwise("right"))
+    return x.select(
+        "id", texts.gene_text(F.col("gene1"), F.lit("chr1"), pos).alias("gene_text"), texts.breakpoint_text(side, texts.side_text(F.lit("chr2"), key, F.lit("right")), reads, F.col("gap")).alias("breakpoint_text"),
+        texts.span_text(F.when(key % 3 != 0, "chr1"), pos, pos + key, reads).alias("span_text"), F.round(texts.allelic_ratio(reads, F.lit(6), F.lit(0.0)), 6).alias("ratio"),
+    )
+
+
 @query("""select c_custkey, 'run' || c_nationkey as run_id, case when c_custkey % 2 = 0 then 'SEQ1' end as sequencer_id, 'lib' || c_custkey as library_id from customer""")
 def header_metadata(spark, sf_dir):
     key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
