@@ -271,6 +271,28 @@ def test_repeated_passages(spark, corpus):
         assert len(a) >= 50 and len(x & y) >= 0.75 * len(x | y)
 
 
+def test_stretches_span_longer_edits():
+    rng = random.Random(12)
+    numbers = itertools.count(1)
+    fresh = lambda n: [f"w{next(numbers)}" for _ in range(n)]
+    hashed = lambda w: next(substring_dedup._sequences(pa.array([" ".join(w)])))
+    for _ in range(60):
+        shared, at, size, kind = fresh(rng.randint(60, 160)), rng.randint(6, 50), rng.randint(1, 14), rng.choice(["replace", "insert", "delete"])
+        edited = shared[:at] + fresh(size if kind != "delete" else 0) + shared[at + (size if kind != "insert" else 0) :]
+        lead = rng.randint(0, 20)
+        a, b = fresh(lead) + shared + fresh(9), fresh(7) + edited + fresh(4)
+        p, q = shingle_set(" ".join(shared)), shingle_set(" ".join(edited))
+        alike = len(p & q) / len(p | q)
+        want = [(lead, lead + len(shared), 7, 7 + len(edited))] if alike >= 0.75 else []
+        for x, y, shift, turn in ((a, b, lead - 7, False), (b, a, 7 - lead, True)):
+            got = substring_dedup.verified(hashed(x), hashed(y), np.array([shift]))
+            spans = [(r[2], r[3], r[0], r[1]) if turn else r[:4] for r in got]
+            assert all(s in spans for s in want) and (not want or len(spans) == 1)
+            for r in got:
+                u, v = shingle_set(" ".join(x[r[0] : r[1]])), shingle_set(" ".join(y[r[2] : r[3]]))
+                assert r[4] == pytest.approx(len(u & v) / len(u | v)) and r[4] >= 0.75 and min(r[1] - r[0], r[3] - r[2]) >= 50
+
+
 def test_empty_tables(spark):
     none = make(spark, []).limit(0)
     pages = spark.createDataFrame([], "page_id long, url string, html string")
