@@ -2,8 +2,8 @@
 
 Features are the presence of words and of words' first 4, 5 and 6 bytes (inflected insults keep their stems).  The ones that tell the
 labels apart beyond chance (likelihood ratio) enter, and every identity term does.  Training minimises log loss, an L2 term and
-a counterfactual term: for each labelled sentence that names a group, the term is swapped for every other one and the
-squared change of the logit is penalised, so that neutral mentions keep the score of the same sentence without them.
+a counterfactual term: for each labelled sentence that names a group, the term is swapped for every other one, with all the
+features that it sets (word and prefixes), and the squared change of the logit is penalised, so that neutral mentions keep the score of the same sentence without them.
 """
 
 from __future__ import annotations
@@ -64,6 +64,13 @@ def identity_hashes(terms) -> np.ndarray:
     return np.concatenate([p.hashes() for p in textkit.words(column, textkit.PUNCT)]) if len(column) else np.zeros(0, np.uint64)
 
 
+def _term_features(terms, wanted: np.ndarray) -> np.ndarray:
+    """A row per distinct term: 1 at each of the ``wanted`` features that it sets, as a word or by a prefix."""
+    column = pa.array(sorted({t.lower() for t in terms}), pa.string())
+    sets = [np.frombuffer(b, np.uint64) for b in _feature_sets(column).to_pylist()]
+    return np.array([np.isin(wanted, found) for found in sets], float).reshape(len(sets), len(wanted))
+
+
 def fit_arrays(rows: list[tuple[bytes, int]], terms=IDENTITY_TERMS, max_features: int = 512, l2: float = 0.5, swap_penalty: float = 1.0, min_rows: int = 3) -> ToxicityModel:
     """Fits on (feature hashes, label) rows.  With one class only, the score is the smoothed share of toxic rows."""
     sets = [np.frombuffer(b, np.uint64) for b, _ in rows]
@@ -105,14 +112,12 @@ def fit_arrays(rows: list[tuple[bytes, int]], terms=IDENTITY_TERMS, max_features
     hit = known[inverse]
     x[owner[hit], column[inverse[hit]]] = 1
     penalty = np.diag(np.r_[np.full(len(wanted), l2), 1e-6])
-    at = np.searchsorted(wanted, group)
-    for t in at:  # a sentence with term t, once for each other term in its place
-        for other in at[at != t]:
-            weight = swap_penalty * x[:, t].sum() / (len(at) - 1)
-            penalty[t, t] += weight
-            penalty[other, other] += weight
-            penalty[t, other] -= weight
-            penalty[other, t] -= weight
+    sets_of = _term_features(terms, wanted)
+    words = np.isin(wanted, group)
+    for t, mine in enumerate(sets_of):  # a sentence with term t, once for each other term in its place
+        change = mine - np.delete(sets_of, t, 0)
+        named = x[:, :-1][:, words & (mine > 0)].all(1).sum()
+        penalty[:-1, :-1] += swap_penalty * named / max(1, len(change)) * (change.T @ change)
     w = np.r_[np.zeros(len(wanted)), base]
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

@@ -134,6 +134,21 @@ def test_toxicity_learns_and_ignores_groups():
     assert toxicity.fit_arrays([]).score(probes).max() < 0.3
 
 
+def test_toxicity_swaps_whole_terms():
+    rng = random.Random(5)
+    rows = []
+    for i in range(600):
+        words = [sentence(rng, 1) for _ in range(12)] + (["scumbag"] if i % 12 == 0 else [])
+        if rng.random() < (0.7 if i % 6 == 0 else 0.1):
+            words.append("muslims")
+        rows.append((" ".join(words), int(i % 6 == 0)))
+    sets = [b.as_py() for b in toxicity._feature_sets(pa.array([t for t, _ in rows]))]
+    model = toxicity.fit_arrays([(b, y) for b, (_, y) in zip(sets, rows, strict=True)])
+    scores = model.score(pa.array([f"we met the {t} here" for t in toxicity.IDENTITY_TERMS]))
+    assert scores.max() - scores.min() < 0.02
+    assert model.score(pa.array(["you scumbag"]))[0] > scores.max()
+
+
 def test_toxicity_held_out(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     got = queries.op2_toxicity(spark, "/root/testdata/sf0.01").join(labels.dropDuplicates(["doc_id"]), "doc_id").where("held_out").toPandas()
