@@ -1,4 +1,9 @@
-"""Benchmark decontamination: windows of benchmark words searched in training texts, in DataFrame functions only."""
+"""Benchmark decontamination: windows of benchmark words searched in training texts, in DataFrame functions only.
+
+The windows' hashes fill a bit table that travels with the plan (of a bounded size, whatever the benchmark's).  A text's windows are tested
+inside its row; the few that pass leave it as words and meet the benchmark's windows in a join that compares the words: a broadcast
+hash join where the windows' measured size allows it, else a shuffled one.  Either way every window is compared and every hit is exact.
+"""
 
 from __future__ import annotations
 
@@ -7,12 +12,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lociforge.llm import bits
+from lociforge.llm.storage import materialize
 from lociforge.llm.url_filter import LOWER, UPPER
 
 #: Everything but digits, letters a-z and non-ASCII characters separates words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Windows of the benchmark that may be broadcast (a hash and a position each, 16 bytes): 64 MB at most.
-MAX_WINDOWS = 4_000_000
+#: Bytes of windows and item lists that may be broadcast.
+MAX_BROADCAST = 32 << 20
+#: Bits of the table per window, and its probes.
+BITS, PROBES = 32, 2
 
 
 def norm_words(text: Column) -> Column:
@@ -25,66 +34,53 @@ def _hash_at(hashes: Column, start: Column, n: int) -> Column:
     return F.xxhash64(*[F.get(hashes, start + k) for k in range(n)])
 
 
-def _occurrences(hashes: Column, n: int, known: list[int]) -> Column:
-    """0-based starts of the windows of ``n`` words whose hash is in the set ``known``."""
-    starts = F.when(F.size(hashes) >= n, F.sequence(F.lit(0), F.size(hashes) - n)).otherwise(F.array().cast("array<int>"))
-    return F.filter(starts, lambda i: _hash_at(hashes, i, n).isin(known))
-
-
-def _string_hash(gram: Column) -> Column:
-    return F.xxhash64(gram, F.lit("words"))
-
-
-def _with_words(n: int):
-    return lambda i: F.struct(i.alias("start"), F.lit(n).alias("n"), F.array_join(F.slice("w", i + 1, F.lit(n)), " ").alias("gram"))
-
-
-def _with_end(n: int):
-    return lambda i: F.struct(i.alias("start"), (i + n).alias("end"))
-
-
 @dataclass(frozen=True)
 class Benchmark:
-    """``grams``: window (its words joined by spaces), n and the items that hold it.  ``hashes``: by window length."""
+    """``grams``: window (its words joined by spaces), n and the items that hold it; ``lengths``: the windows' word counts."""
 
     grams: DataFrame
-    hashes: dict[int, list[int]]
+    table: bits.BitTable
+    lengths: tuple[int, ...]
+    size: int
+
+    def joined(self, hits: DataFrame) -> DataFrame:
+        """``hits`` (gram, n) with the items of equal windows, null for none."""
+        return hits.join(F.broadcast(self.grams) if self.size <= MAX_BROADCAST else self.grams, ["gram", "n"], "left")  # a measured size
 
 
 def benchmark_windows(benchmark: DataFrame, width: int, item: str = "item_id", text: str = "text") -> Benchmark:
     """All windows of the benchmark.  An item with fewer than ``width`` words, but some, is one window."""
-    words = benchmark.select(F.col(item).alias("item"), norm_words(F.col(text)).alias("w")).where(F.size("w") > 0)
+    words = benchmark.select(F.col(item).cast("string").alias("item"), norm_words(F.col(text)).alias("w")).where(F.size("w") > 0)
     n = F.least(F.size("w"), F.lit(width))
     gram = F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.slice("w", i, n)))
-    rows = words.select("item", n.alias("n"), gram.alias("g"))
-    size = rows.count()
-    if size > MAX_WINDOWS:
-        raise ValueError(f"{size} benchmark windows; split the benchmark into blocks of {MAX_WINDOWS} at most")
-    joined = rows.select("item", "n", F.array_join("g", " ").alias("gram"), F.transform("g", lambda w: F.xxhash64(w)).alias("h"))
-    grams = joined.groupBy("gram", "n").agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("items"))
-    hashes: dict[int, list[int]] = {}
-    for (k,) in rows.select("n").distinct().collect():  # at most ``width`` lengths
-        of = joined.where(F.col("n") == k).select(_hash_at(F.col("h"), F.lit(0), k)).distinct()
-        hashes[k] = [r[0] for r in of.collect()]
-    return Benchmark(grams, hashes)
+    rows = words.select("item", n.alias("n"), gram.alias("g")).select("item", "n", F.array_join("g", " ").alias("gram"))
+    grams = materialize(rows.groupBy("gram", "n").agg(F.sort_array(F.collect_set("item")).alias("items")), "benchmark-windows")
+    items = F.aggregate("items", F.lit(0), lambda s, x: s + F.octet_length(x) + 24)
+    known = grams.agg(F.count("*"), F.sum(F.octet_length("gram") + items + 64), F.sort_array(F.collect_set("n"))).first()  # at most ``width`` lengths
+    hashes = grams.select(F.transform(F.split("gram", " "), lambda w: F.xxhash64(w)).alias("h"), "n")
+    key = F.lit(0).cast("long")
+    for k in known[2]:
+        key = F.when(F.col("n") == k, _hash_at(F.col("h"), F.lit(0), k)).otherwise(key)
+    return Benchmark(grams, bits.fill(hashes.select(key.alias("key")), known[0] * BITS, PROBES), tuple(known[2]), known[1] or 0)
 
 
 def find_hits(docs: DataFrame, benchmark: Benchmark, key: str, text: str = "text") -> DataFrame:
-    """``docs``' key with n_words and one row per verified occurrence (start, n, items), or one row without one.
+    """``docs``' key with n_words and one row per window that passes the table, of which those with ``n`` and ``items`` are hits; or one row without any.
 
-    The windows' hashes stay in one array per text and only those in the benchmark's hash set leave it, so rows grow with the hits,
-    not with the words.  A hit is verified by its words: the broadcast join compares them.
+    The windows' hashes stay in one array per text and only those that pass leave it, so rows grow with the hits, not with the words.
     """
     words = docs.select(F.col(key), norm_words(F.col(text)).alias("w"))
     hashed = words.withColumn("h", F.transform("w", lambda w: F.xxhash64(w))).withColumn("n_words", F.size("w").cast("long"))
-    found = []
-    for n, known in sorted(benchmark.hashes.items()):
-        at = _occurrences(F.col("h"), n, known)
-        found.append(F.transform(at, _with_words(n)))
-    if not found:
+    if not benchmark.lengths:
         return hashed.select(key, "n_words", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("n"), F.lit(None).cast("array<string>").alias("items"))
-    hits = hashed.select(key, "n_words", F.explode_outer(F.concat(*found)).alias("x")).select(key, "n_words", "x.start", "x.n", "x.gram")
-    return hits.join(F.broadcast(benchmark.grams), ["gram", "n"], "left").select(key, "n_words", "start", F.when(F.col("items").isNotNull(), F.col("n")).alias("n"), "items")
+
+    def passed(n: int) -> Column:
+        starts = F.when(F.size("h") >= n, F.sequence(F.lit(0), F.size("h") - n)).otherwise(F.array().cast("array<int>"))
+        gram = lambda i: F.struct(i.alias("start"), F.lit(n).alias("n"), F.array_join(F.slice("w", i + 1, F.lit(n)), " ").alias("gram"))
+        return F.transform(F.filter(starts, lambda i: benchmark.table.hit(_hash_at(F.col("h"), i, n))), gram)
+
+    hits = hashed.select(key, "n_words", F.explode_outer(F.concat(*map(passed, benchmark.lengths))).alias("x")).select(key, "n_words", "x.start", "x.n", "x.gram")
+    return benchmark.joined(hits).select(key, "n_words", "start", F.when(F.col("items").isNotNull(), F.col("n")).alias("n"), "items")
 
 
 def _covered(spans: Column) -> Column:
@@ -94,20 +90,24 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(spans, zero, step, lambda s: s["n"])
 
 
+def _judged(keyed: DataFrame, windows: Benchmark) -> DataFrame:
+    """Per key: n_words, spans, n_hit and items."""
+    hits = find_hits(keyed, windows, "key")
+    span = F.when(F.col("n").isNotNull(), F.struct("start", (F.col("start") + F.col("n")).alias("end")))
+    per = hits.groupBy("key").agg(F.max("n_words").alias("n_words"), F.sort_array(F.collect_set(span)).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    return per.withColumn("n_hit", _covered(F.col("spans")))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, doc: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """Per document row: doc_id, n_words, n_hit, spans (word start, end), items and contaminated.
 
     A window is ``width`` consecutive words of an item, or the whole of a shorter one; every document word inside an occurrence
     is hit.  Rows are judged one by one: repeated doc_ids stay apart.  Null and empty texts have no words; an empty
-    benchmark hits nothing.  The only shuffle carries a row per document or hit, never a text.
+    benchmark hits nothing; other columns play no part.  The shuffle carries a row per document or hit, never a text.
     """
     rows = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"))
-    keyed = rows.select(F.struct("doc_id", "row").alias("key"), "text")
-    hits = find_hits(keyed, benchmark_windows(benchmark, width, item, item_text), "key")
-    span = F.when(F.col("n").isNotNull(), F.struct("start", (F.col("start") + F.col("n")).alias("end")))
-    per = hits.groupBy("key").agg(F.max("n_words").alias("n_words"), F.sort_array(F.collect_set(span)).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-    n_hit = _covered(F.col("spans"))
-    return per.select(F.col("key.doc_id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), "spans", "items", (n_hit > 0).alias("contaminated"))
+    per = _judged(rows.select(F.struct("doc_id", "row").alias("key"), "text"), benchmark_windows(benchmark, width, item, item_text))
+    return per.select(F.col("key.doc_id").alias("doc_id"), "n_words", "n_hit", "spans", "items", (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def contamination_digest(found: DataFrame) -> DataFrame:
@@ -116,26 +116,12 @@ def contamination_digest(found: DataFrame) -> DataFrame:
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, max_share: float = 0.0, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows of which more than ``max_share`` of the words are hit; all columns stay, and no row is shuffled.
+    """``docs`` without the rows of which more than ``max_share`` of the words are hit; all columns, and rows without words, stay.
 
-    Judged in the row: texts stay where they are, and documents without words are kept.  A hit is verified by a second hash, of its words'
-    string, so that 128 bits agree.
+    The hit texts are found first, as a table of ids and two hashes of the text; an anti join then drops them, so equal rows share their fate.
     """
-    windows = benchmark_windows(benchmark, width)
-    checks = windows.grams.select(_string_hash(F.col("gram"))).collect()
-    strings = [r[0] for r in checks]
-    if not strings:
-        return docs
-
-    def spans(words: Column, hashes: Column) -> Column:
-        def of(n: int, known: list[int]) -> Column:
-            true = lambda i: _string_hash(F.array_join(F.slice(words, i + 1, F.lit(n)), " ")).isin(strings)
-            return F.transform(F.filter(_occurrences(hashes, n, known), true), _with_end(n))
-
-        return F.sort_array(F.concat(*[of(n, known) for n, known in sorted(windows.hashes.items())]))
-
-    # a filter's condition is pushed below projections, so the words are bound inside it, once per row
-    both = F.struct(norm_words(F.col(text)).alias("w"))
-    hashed = F.transform(F.array(both), lambda x: F.struct(x["w"].alias("w"), F.transform(x["w"], lambda w: F.xxhash64(w)).alias("h")))
-    clean = F.transform(hashed, lambda x: _covered(spans(x["w"], x["h"])) <= F.lit(max_share) * F.size(x["w"]))
-    return docs.where(F.get(clean, 0))
+    print_of = F.struct(F.col(doc).cast("string").alias("_doc"), F.xxhash64(F.col(text)).alias("_h"), F.xxhash64(F.lit("again"), F.col(text)).alias("_g"))
+    hits = _judged(docs.select(print_of.alias("key"), F.col(text).alias("text")), benchmark_windows(benchmark, width))
+    gone = materialize(hits.where(F.col("n_hit") > F.lit(max_share) * F.col("n_words")).select("key"), "contaminated")
+    mark = gone.select(F.col("key").alias("_key"))
+    return docs.join(mark, print_of == F.col("_key"), "left_anti")
