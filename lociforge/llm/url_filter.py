@@ -3,7 +3,8 @@
 Level 1 encodes the listed keys; level 2 the universe's false positives of level 1; level 3 the listed keys that
 level 2 takes by mistake; and so on until a level has none.  As the levels are built against the *complete* universe of
 keys that the corpus can ask about, an answer is exact for every key of that corpus and needs no join: a few bits are
-tested per key.
+tested per key.  Keys stay in tables and the levels are filled by aggregations, so a list of millions is no different from one of five.
+A list too long for the plan (``MAX_LISTED``) is looked up by an equi-join instead, with the same results.
 """
 
 from __future__ import annotations
@@ -15,9 +16,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociforge.llm import bits
+from lociforge.llm.storage import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Listed keys travel with the plan; a longer list belongs into a table and a join.
-MAX_LISTED = 100_000
+#: Listed keys whose first level fits the plan.
+MAX_LISTED = 8_000_000
 
 
 @dataclass(frozen=True)
@@ -43,67 +47,30 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-@dataclass(frozen=True)
-class Level:
-    """One Bloom filter: ``bits`` as bytes, ``hashes`` probes."""
-
-    bits: bytes
-    hashes: int
-    salt: int
-
-    def hit(self, key: Column) -> Column:
-        """Whether every probed bit of ``key`` is set; stays in the JVM, the bits are one binary literal."""
-        m, filled = len(self.bits) * 8, F.lit(self.bits)
-        test = F.lit(True)
-        for i in range(self.hashes):
-            at = F.pmod(F.xxhash64(key, F.lit(self.salt), F.lit(i)), F.lit(m))
-            byte = F.conv(F.hex(F.substring(filled, (at / 8).cast("int") + 1, 1)), 16, 10).cast("int")
-            test = test & (F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) != 0)
-        return test
-
-
-def _frame(spark: SparkSession, keys: Sequence[str]) -> DataFrame:
-    """The keys as rows of column ``key``, from one literal; no key holds a NUL."""
-    return spark.range(1, numPartitions=1).select(F.explode(F.split(F.lit("\0".join(keys)), "\0", -1)).alias("key"))
-
-
-def _build(spark: SparkSession, keys: Sequence[str], bits: int, hashes: int, salt: int) -> Level:
-    """A filter with exactly the JVM's hash values, as the probes use them."""
-    m = max(8, (bits + 7) // 8 * 8)
-    at = F.explode(F.array(*[F.pmod(F.xxhash64("key", F.lit(salt), F.lit(i)), F.lit(m)) for i in range(hashes)]))
-    filled = bytearray(m // 8)
-    for (x,) in _frame(spark, keys).select(at).collect():
-        filled[x // 8] |= 1 << (x % 8)
-    return Level(bytes(filled), hashes, salt)
-
-
 class BloomCascade:
-    """Exact membership of ``listed`` among the keys of ``universe``.
+    """Exact membership of the column ``key`` of ``listed`` among that of ``universe``.
 
-    The first level's false-positive rate is (listed / universe), so the false positives that come to the driver number
-    about as many as the listed keys, whatever the corpus's size; later levels only halve.  Null keys are never listed.
-    An empty list, or an empty universe, gives a cascade that says no, or that of level 1.
+    The first level's false-positive rate is (listed / universe), so the false positives number about as many as the listed keys, whatever
+    the corpus's size; later levels only halve.  Null keys are never listed.  An empty list gives a cascade that says no, an empty universe
+    level 1 alone.  Only the levels' bits come to the driver.
     """
 
-    def __init__(self, spark: SparkSession, listed: Sequence[str], universe: DataFrame, key: str = "key"):
-        listed = sorted(set(listed))
-        if len(listed) > MAX_LISTED:
-            raise ValueError(f"{len(listed)} listed keys; a cascade in the plan holds {MAX_LISTED} at most")
-        self.levels: list[Level] = []
-        if not listed:
+    def __init__(self, listed: DataFrame, universe: DataFrame):
+        asked = universe.select("key").where("key is not null")
+        right = materialize(listed.select("key").where("key is not null").distinct(), "listed-keys")
+        self.levels: list[bits.BitTable] = []
+        n = right.count()
+        if not n:
             return
-        size = universe.agg(F.approx_count_distinct(key)).first()[0] or 1
-        bits_per_key = max(2.0, math.log2(max(2.0, size / len(listed))) * 1.44)
-        first = _build(spark, listed, math.ceil(len(listed) * bits_per_key), max(1, round(bits_per_key * math.log(2))), 1)
-        others = universe.where(F.col(key).isNotNull() & ~F.col(key).isin(listed))
-        wrong = [r[0] for r in others.where(first.hit(F.col(key))).select(key).distinct().collect()]
+        size = asked.agg(F.approx_count_distinct("key")).first()[0] or 1
+        per_key = min(16.0, max(2.0, math.log2(max(2.0, size / n)) * 1.44))
+        first = bits.fill(right, math.ceil(n * per_key), max(1, round(per_key * math.log(2))))
+        wrong = materialize(asked.where(first.hit(F.col("key"))).distinct().join(right, "key", "left_anti"), "listed-wrong")
         self.levels.append(first)
-        right, salt = listed, 2
-        while wrong:  # wrong: what this level must tell from right
-            level = _build(spark, wrong, math.ceil(len(wrong) * 1.44 * 4) + 8, 3, salt)
+        while n := wrong.count():  # wrong: what this level must tell from right
+            level = bits.fill(wrong, n * 6 + 64, 3, len(self.levels) + 1)
             self.levels.append(level)
-            right, wrong = wrong, [r[0] for r in _frame(spark, right).where(level.hit(F.col("key"))).collect()]
-            salt += 1
+            right, wrong = wrong, materialize(right.where(level.hit(F.col("key"))), "listed-wrong")
 
     def contains(self, key: Column) -> Column:
         """Whether ``key`` is listed: the first level that refuses it decides, by that level's parity."""
@@ -113,38 +80,54 @@ class BloomCascade:
         return F.coalesce(said & key.isNotNull(), F.lit(False))
 
 
-def candidate_keys(host: Column, path: Column, rules: Sequence[Rule]) -> list[tuple[Column, int]]:
-    """Every key under which a rule of these label counts and path lengths could fit, with the path's length.
+def rule_table(spark: SparkSession, rules: Sequence[Rule] | DataFrame) -> DataFrame:
+    """(action, host, path, key) of the rules."""
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame([(r.action, r.host, r.path) for r in rules], "action string, host string, path string")
+    known = rules.select("action", F.coalesce("host", F.lit("")).alias("host"), F.coalesce("path", F.lit("")).alias("path"))
+    return known.withColumn("key", F.concat("host", "path"))
 
-    Fixed scalar expressions, not a per-row array: host suffixes only of the label counts that rules have.  Null where
-    the url has fewer labels or a shorter path.
-    """
-    labels = F.size(F.split(host, r"\."))
-    out = []
-    for n in sorted({r.host.count(".") + 1 for r in rules}):
-        suffix = F.when(labels >= n, F.substring_index(host, ".", -n))
-        for p in sorted({len(r.path) for r in rules}):
-            out.append((F.when(F.length(path) >= p, F.concat(suffix, F.substring(path, 1, p))), p))
-    return out
 
+def candidate_keys(host: Column, path: Column, labels: Sequence[int], lengths: Sequence[int]) -> Column:
+    """Every key under which a rule of these label counts and path lengths could fit, as an array."""
+    parts = F.split(host, r"\.")
+    counts = F.filter(F.array(*[F.lit(n) for n in labels]), lambda n: n <= F.size(parts))
+    starts = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(path))
+    suffix = lambda n: F.array_join(F.slice(parts, F.size(parts) - n + 1, n), ".")
+    return F.flatten(F.transform(counts, lambda n: F.transform(starts, lambda p: F.concat(suffix(n), F.substring(path, F.lit(1), p)))))
 
-def filter_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", default: str = "allow") -> DataFrame:
+
+def filter_urls(pages: DataFrame, rules: Sequence[Rule] | DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """Adds host, path, rule and verdict to ``pages``.
 
-    A rule fits its host and all subdomains where the path starts with the rule's; the longest key wins.  ``rule`` is the
-    key (null: none fits) and ``verdict`` its action.  Without a rule the cascades decide: a key that none of them lists is not
+    A rule fits its host and all subdomains where the path starts with the rule's; the longest key wins, of equally long ones
+    the last in code point order, and of equal keys a block.  ``rule`` is the key (null: none fits) and ``verdict`` its action.  Without a rule the cascades decide: a key that none of them lists is not
     on the blocklist, so ``default`` holds.  Null or malformed urls have an empty host and path and get the default; repeated rows stay.
-    Columns of ``pages`` named host, path, rule or verdict are replaced.
+    Columns of ``pages`` named host, path, rule or verdict are replaced.  ``rules`` may be a table (action, host, path) of any length.
     """
-    spark = pages.sparkSession
     read = pages.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
-    keys = [k for k, _ in candidate_keys(F.col("host"), F.col("path"), rules)]
-    if not keys:
+    listed = materialize(rule_table(pages.sparkSession, rules), "url-rules")
+    shapes = listed.agg(F.collect_set(F.size(F.split("host", r"\."))), F.collect_set(F.length("path")), F.count("*")).first()  # label counts and path lengths, a few each
+    keys = candidate_keys(F.col("host"), F.col("path"), sorted(shapes[0]), sorted(shapes[1]))
+    if not shapes[2]:
         return read.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    universe = read.select(F.explode(F.array(*keys)).alias("key")).where("key is not null")
-    cascades = {a: BloomCascade(spark, [r.key for r in rules if r.action == a], universe) for a in ("block", "allow")}
-    listed = F.filter(F.array(*keys), lambda k: cascades["block"].contains(k) | cascades["allow"].contains(k))
-    by_length = F.sort_array(F.transform(listed, lambda k: F.struct(F.length(k).alias("n"), k.alias("k"))), asc=False)
+    if shapes[2] > MAX_LISTED:
+        return _by_join(read, listed, keys, default)
+    universe = read.select(F.explode(keys).alias("key"))
+    cascades = {a: BloomCascade(listed.where(F.col("action") == a), universe) for a in ("block", "allow")}
+    fits = F.filter(keys, lambda k: cascades["block"].contains(k) | cascades["allow"].contains(k))
+    by_length = F.sort_array(F.transform(fits, lambda k: F.struct(F.length(k).alias("n"), k.alias("k"))), asc=False)
     read = read.withColumn("rule", F.get(by_length, 0)["k"])
     verdict = F.when(F.col("rule").isNull(), default).when(cascades["block"].contains(F.col("rule")), "block").otherwise("allow")
     return read.withColumn("verdict", verdict)
+
+
+def _by_join(read: DataFrame, listed: DataFrame, keys: Column, default: str) -> DataFrame:
+    """The same verdicts by an equi-join of the rows' keys with the rules; rows are numbered in a written table."""
+    rows = materialize(read.withColumn("_row", F.monotonically_increasing_id()), "url-rows")
+    asked = rows.select("_row", F.explode(keys).alias("key"))
+    best = F.max(F.struct(F.length("key").alias("n"), F.col("key").alias("k"), (F.col("action") == "block").alias("b")))
+    found = asked.join(listed.select("key", "action"), "key").groupBy("_row").agg(best.alias("_x"))
+    verdict = F.when(F.col("_x").isNull(), default).when(F.col("_x.b"), "block").otherwise("allow")
+    kept = [F.col(f"`{c}`") for c in read.columns if c not in ("rule", "verdict")]
+    return rows.drop("rule", "verdict").join(found, "_row", "left").select(*kept, F.col("_x.k").alias("rule"), verdict.alias("verdict"))
