@@ -51,9 +51,15 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.chat_digest(chat_format.format_chats(turns.unionByName(extra)))
 
 
+def secret_forest(vocabulary: str = "byte_bpe_multi_50k.tiktoken") -> secret_scan.Forest:
+    """The forest of the made findings; its dictionary takes in the words of a public tokenizer's vocabulary."""
+    import public_tokenizers
+
+    return secret_scan.fit_forest(secret_scan.labelled_findings(), words=secret_scan.vocabulary_words(public_tokenizers.path(vocabulary)))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    forest = secret_scan.fit_forest(secret_scan.labelled_findings())
-    return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"), forest)
+    return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"), secret_forest())
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +108,26 @@ def _case(value: Callable[[url_filter.Rule], str]) -> str:
 def oracle_sql() -> dict[str, str]:
     escaped = r"replace(replace(replace(replace({}, '\', '\\'), '###', '\#'), '</turn>', '\/'), ': ', '\;')"
     words = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    white = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
     return {
+        "op1_ngram_join": f"""
+            with recursive d as (select doc_id, {white} as w from documents),
+            s as (select distinct doc_id, array_to_string(list_slice(w, i, i + least(len(w), 5) - 1), ' ') as g
+                  from (select doc_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) as i from d where len(w) > 0)),
+            n as (select doc_id, count(*) as n from s group by 1),
+            o as (select a.doc_id as x, b.doc_id as y, count(*) as shared from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+            e as (select x, y from o join n p on p.doc_id = x join n q on q.doc_id = y where 100 * shared >= 75 * (p.n + q.n - shared)),
+            u as (select x, y from e union all select y, x from e),
+            r as (select doc_id, doc_id as seen from d union select r.doc_id, u.y from r join u on r.seen = u.x)
+            select d.doc_id, coalesce(max(n.n), 0)::bigint as n_shingles, min(seen) as component_id from d join r on r.doc_id = d.doc_id left join n on n.doc_id = d.doc_id group by 1""",
+        "op3_embedding_dedup": """
+            with recursive v as (select vec_id, label, embedding::double[] as x from embeddings
+                       where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0 and len(list_filter(embedding, lambda c: c <> 0)) > 0),
+            e as (select a.vec_id as p, b.vec_id as q from v a join v b on a.label = b.label and a.vec_id < b.vec_id and len(a.x) = len(b.x) where list_cosine_similarity(a.x, b.x) >= 0.93),
+            u as (select p, q from e union all select q, p from e),
+            r as (select vec_id, vec_id as seen from embeddings union select r.vec_id, u.q from r join u on r.seen = u.p),
+            c as (select vec_id, min(seen) as component_id from r group by 1), k as (select p as vec_id, count(*) as n from u group by 1)
+            select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept from c left join k using (vec_id)""",
         "op9_url_filter": f"""
             select page_id, host, path, {_case(lambda r: r.key)} end as rule, {_case(lambda r: r.action)} else 'allow' end as verdict
             from (select page_id, {_HOST} as host, {_PATH} as path from pages)""",
