@@ -4,7 +4,7 @@ A text's pieces (matches of the splitting pattern) are encoded separately.  With
 ``join`` of the encodings of two neighbours is the encoding of their bytes put together.  ``join`` re-encodes a window around
 the seam and doubles it until the window's outer tokens come out unchanged: a sequence is an encoding exactly when each two
 adjacent tokens are the encoding of their own bytes, and then every adjacent pair lies in one of the two old encodings or in the
-window's.  Long pieces are halved recursively down to ``LEAF`` bytes and joined up the tree.
+window's.  Pieces are halved recursively down to ``LEAF`` bytes and joined up the tree; decoding puts byte strings together up such a tree.
 """
 
 from __future__ import annotations
@@ -19,7 +19,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEAF = 48
+#: Bytes of a piece that are merged directly, and tokens that are decoded directly; all above goes through the tree.
+LEAF = 16
+#: Bytes of the pieces whose ids are kept.
+SHORT = 48
 #: Bytes of a rank file that may be sent to the executors.
 MAX_FILE = 16 << 20
 #: Pieces whose ids a Python worker keeps, twice: when a generation is full, the one before it goes.
@@ -97,7 +100,7 @@ class ByteBPE:
             ids = array("I", self.encode_piece(piece.encode())).tobytes()
         if len(self.kept) >= CACHE:
             self.older, self.kept = self.kept, {}
-        if len(piece) <= LEAF:
+        if len(piece) <= SHORT:
             self.kept[piece] = ids
         return ids
 
@@ -107,9 +110,12 @@ class ByteBPE:
         return b"".join([get(p) or missed(p) for p in self.split(text)])  # a piece has at least one id
 
     def decode(self, ids: bytes) -> bytes:
-        """The bytes of the tokens, concatenated pairwise up a tree by ``join`` of byte strings."""
-        token = self.token
-        return b"".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        """The bytes of the tokens: those of ``LEAF`` tokens at a time, then each two neighbours, up a tree."""
+        token, all_ids = self.token, np.frombuffer(ids, "<u4").tolist()
+        level = [b"".join([token[i] for i in all_ids[at : at + LEAF]]) for at in range(0, len(all_ids), LEAF)]
+        while len(level) > 1:
+            level = [b"".join(level[at : at + 2]) for at in range(0, len(level), 2)]
+        return level[0] if level else b""
 
 
 @lru_cache(maxsize=2)

@@ -74,7 +74,13 @@ class Tables:
 def _vectors(table, kind: str) -> np.ndarray:
     """Unit vectors of a binary column, as rows; all have one length."""
     raw = np.stack([np.frombuffer(x, kind) for x in table.column("vec").to_pylist()]).astype(np.float64)
-    return raw / np.linalg.norm(raw, axis=1, keepdims=True)
+    with np.errstate(over="ignore", under="ignore"):
+        norm = np.linalg.norm(raw, axis=1, keepdims=True)
+        odd = np.flatnonzero(~np.isfinite(norm[:, 0]) | (norm[:, 0] < 1e-150))  # squares out of range: scaled first
+        if len(odd):
+            raw[odd] /= np.abs(raw[odd]).max(1, keepdims=True)
+            norm[odd] = np.linalg.norm(raw[odd], axis=1, keepdims=True)
+    return raw / norm
 
 
 def _checked(vectors: DataFrame, kind: str, vec_id: str, embedding: str, label: str) -> DataFrame:

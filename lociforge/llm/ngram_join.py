@@ -30,6 +30,8 @@ PERCENT = 75
 WIDTH = 5
 GROUPS = 32
 LEAF = 32
+#: Nodes below an inner node of the tree.
+FAN = 4
 #: Classes of one block that meet in a task.
 PART = 512
 #: Shingles held back by a mapper before it writes, and about as many in a range.
@@ -207,13 +209,28 @@ class _Block:
         """Links that connect whatever verified pairs connect."""
         size = len(self.sig)
         starts = np.arange(0, size, LEAF)
-        high = np.maximum.reduceat(self.points, starts, axis=0)
-        small = np.minimum.reduceat(self.n, starts)
-        # a pair shares PERCENT of the union: (100 + PERCENT) * overlap >= PERCENT * (sizes)
-        for x, lo in enumerate(starts):
-            bound = np.minimum(high[x:], high[x]).sum(1)
-            for y in x + np.flatnonzero((100 + PERCENT) * bound >= PERCENT * (small[x:] + small[x])):
-                self._leaves(lo, min(size, lo + LEAF), starts[y], min(size, starts[y] + LEAF))
+        # the tree, from the leaves up: of each node the upper corner of its points and its smallest set
+        levels = [(np.maximum.reduceat(self.points, starts, axis=0), np.minimum.reduceat(self.n, starts))]
+        while len(levels[-1][1]) > 1:
+            high, small = levels[-1]
+            cut = np.arange(0, len(small), FAN)
+            levels.append((np.maximum.reduceat(high, cut, axis=0), np.minimum.reduceat(small, cut)))
+        pairs = [(len(levels) - 1, 0, 0)]
+        while pairs:
+            level, x, y = pairs.pop()
+            if level < 0:
+                self._leaves(starts[x], min(size, starts[x] + LEAF), starts[y], min(size, starts[y] + LEAF))
+                continue
+            high, small = levels[level]
+            # a pair shares PERCENT of the union: (100 + PERCENT) * overlap >= PERCENT * (sizes)
+            if (100 + PERCENT) * np.minimum(high[x], high[y]).sum() < PERCENT * (small[x] + small[y]):
+                continue
+            if level == 0:
+                pairs.append((-1, x, y))
+                continue
+            below = len(levels[level - 1][1])
+            left, right = range(x * FAN, min(below, (x + 1) * FAN)), range(y * FAN, min(below, (y + 1) * FAN))
+            pairs += [(level - 1, i, j) for i in reversed(left) for j in reversed(right) if x != y or i <= j]
         return [(int(self.sig[i]), int(self.sig[j])) for i, j in self.links]
 
     def _leaves(self, a: int, b: int, c: int, d: int) -> None:
