@@ -2,6 +2,10 @@
 
 Toxic documents go; of each group of near copies the smallest id stays; documents that hold benchmark passages go; secrets are
 masked in the text; the rest is encoded.  All but the last stage return the columns of ``documents``.
+
+Null, empty and wordless texts pass every stage (they are neither toxic nor copies nor contaminated); of rows that repeat id and text one stays;
+rows with a null id stay; an empty table gives an empty table; other columns, whatever their names, are carried along (the last stage
+replaces ids, n_tokens and lossless).
 """
 
 from __future__ import annotations
@@ -31,9 +35,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks found secrets; n_chars is counted again where a text changed."""
-    forest = secret_scan.fit_forest(secret_scan.labelled_findings())
-    masked = secret_scan.redact_secrets(docs.withColumn("_was", F.xxhash64("text")), forest)
-    return masked.withColumn("n_chars", F.when(F.xxhash64("text") == F.col("_was"), F.col("n_chars")).otherwise(F.char_length("text"))).select(*docs.columns)
+    was = next(name for i in range(len(docs.columns) + 1) if (name := f"_was{i}") not in docs.columns)
+    masked = secret_scan.redact_secrets(docs.withColumn(was, F.xxhash64("text")), queries.secret_forest())
+    return masked.withColumn("n_chars", F.when(F.xxhash64("text") == F.col(was), F.col("n_chars")).otherwise(F.char_length("text"))).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
