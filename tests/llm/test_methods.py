@@ -325,6 +325,51 @@ def test_join_tree_has_inner_nodes():
     assert len(sets) > 200 and got == closure(len(sets), pairs)
 
 
+# ---- op10
+
+
+def test_passages_of_one_repeated_word_stay_small():
+    a, b = (next(substring_dedup._sequences(pa.array(["same " * n]))) for n in (20000, 19000))
+    places = np.arange(0, 19000, 7)
+    tracemalloc.start()
+    began = time.perf_counter()
+    found = substring_dedup.verified(a, b, places, places[::-1].copy())
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20 and time.perf_counter() - began < 60
+    tracemalloc.stop()
+    assert found and all(r[4] == 1 for r in found)
+    line = "one line of eight words that comes again " * 1500
+    x, y = (next(substring_dedup._sequences(pa.array([t]))) for t in (line, "other " * 40 + line))
+    assert substring_dedup.verified(x, y, np.arange(0, 9000, 32), np.arange(40, 9040, 32))
+
+
+def test_near_passages_are_found(spark):
+    """Planted near pairs, and a hub whose slices share different parts of it; what is below the similarity has no row."""
+    rng = random.Random(21)
+    texts, near, far = [], [], []
+    for _ in range(120):
+        passage = sentence(rng, rng.randint(80, 140)).split()
+        edited, other = list(passage), list(passage)
+        at = rng.randint(30, 45)
+        edited[at : at + rng.randint(1, 6)] = sentence(rng, rng.randint(0, 5)).split()
+        for k in range(3, len(other), 9):
+            other[k] = sentence(rng, 1)
+        base = len(texts)
+        texts += [" ".join([sentence(rng, 30), *w, sentence(rng, 30)]) for w in (passage, edited)]
+        near.append((base, base + 1))
+        if len(far) < 40:
+            texts += [" ".join([sentence(rng, 30), *w, sentence(rng, 30)]) for w in (sentence(rng, 100).split(), other)]
+            far.append((len(texts) - 1, base))
+    hub = sentence(rng, 600).split()
+    first = len(texts)
+    for _ in range(100):
+        at = rng.randint(0, 520)
+        texts.append(" ".join([sentence(rng, 20), *hub[at : at + rng.randint(55, 80)], sentence(rng, 20)]))
+    got = {(r.doc_id, r.other_id) for r in substring_dedup.repeated_passages(make(spark, texts)).collect()}
+    assert sum(p in got for p in near) >= 0.97 * len(near) and not any(p in got for p in far)
+    slices = {d for d, _ in got if d >= first}
+    assert len(slices) >= 98
+
+
 # ---- the pipeline
 
 

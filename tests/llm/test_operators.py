@@ -300,7 +300,7 @@ def test_stretches_span_longer_edits():
         alike = len(p & q) / len(p | q)
         want = [(lead, lead + len(shared), 7, 7 + len(edited))] if alike >= 0.75 else []
         for x, y, shift, turn in ((a, b, lead - 7, False), (b, a, 7 - lead, True)):
-            got = substring_dedup.verified(hashed(x), hashed(y), np.array([shift]))
+            got = substring_dedup.verified(hashed(x), hashed(y), np.array([max(shift, 0)]), np.array([max(-shift, 0)]))
             spans = [(r[2], r[3], r[0], r[1]) if turn else r[:4] for r in got]
             assert all(s in spans for s in want) and (not want or len(spans) == 1)
             for r in got:
