@@ -214,7 +214,7 @@ def aa_changes(spark, sf_dir):
     return genotype.amino_changes(_calls(spark, sf_dir), refs).select("gene", F.array_join("aa_changes", ",").alias("aa_changes"))
 
 
-_REGIONS = "(select ref_id, st, en, nm, en as e from targets where ord <= 60)"
+_REGIONS = "(select ref_id, st, en, nm, en as e from targets)"
 _INDELS = f"""(select nm, t as pos, len as length, count(*) as n from (
                  select ref_id, pos0 + 1 + c_m1 + c_d + c_m2 as t, c_i as len, 'I' as op from aln where c_i > 0
                  union all select ref_id, pos0 + 1 + c_m1, -c_d, 'D' from aln) o join {_REGIONS} r on o.ref_id = r.ref_id and
@@ -222,7 +222,7 @@ _INDELS = f"""(select nm, t as pos, len as length, count(*) as n from (
 
 
 def _regions(spark, sf_dir):
-    return load(spark, sf_dir, "targets").where("ord <= 60")
+    return load(spark, sf_dir, "targets")
 
 
 @query(f"select nm, pos, length, n from {_INDELS}")
@@ -285,13 +285,13 @@ def ambiguous_alignments(spark, sf_dir):
     return structural.ambiguous(_splits(spark, sf_dir), load(spark, sf_dir, "targets"))
 
 
-# A read's aligned ranges all overlap in this data, so the fusion queries ask for reads of two records, which are never ambiguous.
 _LOCI = f"""(select s.*, coalesce(g.nm, '') as gene, case when g.nm is not null then [{{'ref_id': s.ref_id, 'bin': g.bin, 'gene': g.nm}}]
                     else list_transform(range(s.ts // 10000, s.te // 10000 + 2), lambda b: {{'ref_id': s.ref_id, 'bin': b::int, 'gene': ''}}) end as loci
-             from (select * from {_SPLITS} where parts = 2) s left join (select read_name, aln_no, arg_min(nm, ord) as nm, arg_min(mid // 10000, ord)::int as bin from {_MET} where anchor > 500 group by 1, 2) g
+             from (select * from splits s where not exists (select 1 from ambiguous a where a.read_name = s.read_name and a.aln_no = s.aln_no)) s left join (select read_name, aln_no, arg_min(nm, ord) as nm, arg_min(mid // 10000, ord)::int as bin from {_MET} where anchor > 500 group by 1, 2) g
                   using (read_name, aln_no))"""
+_CLEAR = f"splits as {_SPLITS}, ambiguous as {_AMBIGUOUS.format(anchor=500)}"
 _FOUND = f"""(select *, (l0.ref_id, l0.bin, l0.gene) > (l1.ref_id, l1.bin, l1.gene) as turned from (
-                select a.read_name, unnest(a.loci) as l0, b.loci as bl, a.gene as gene0, b.gene as gene1, a.qs as qs0, a.qe as qe0, a.ts as ts0, a.te as te0, a.rev as rev0,
+                select a.read_name, a.aln_no as aln0, b.aln_no as aln1, unnest(a.loci) as l0, b.loci as bl, a.gene as gene0, b.gene as gene1, a.qs as qs0, a.qe as qe0, a.ts as ts0, a.te as te0, a.rev as rev0,
                        b.qs as qs1, b.qe as qe1, b.ts as ts1, b.te as te1, b.rev as rev1
                 from l a join l b on a.read_name = b.read_name and a.aln_no < b.aln_no where a.gene <> '' or b.gene <> ''), unnest(bl) as u(l1) where l0 <> l1)"""
 _ONE_SIDED = [f"G{i}" for i in range(0, 40)]
@@ -299,12 +299,13 @@ _ALLOWED = f"(gene0 <> '' and gene1 <> '' or case when gene0 = '' then gene1 els
 
 
 def _found(spark, sf_dir):
-    two = _splits(spark, sf_dir).where("parts = 2")
-    return structural.locus_pairs(structural.loci(two, load(spark, sf_dir, "targets")), _ONE_SIDED)
+    targets, splits = load(spark, sf_dir, "targets"), _splits(spark, sf_dir)
+    clear = splits.join(structural.ambiguous(splits, targets), ["read_name", "aln_no"], "left_anti")
+    return structural.locus_pairs(structural.loci(clear, targets), _ONE_SIDED)
 
 
 @query(f"""
-    with l as {_LOCI}, f as {_FOUND}
+    with {_CLEAR}, l as {_LOCI}, f as {_FOUND}
     select a.ref_id as ref0, a.bin as bin0, a.gene as gene0, b.ref_id as ref1, b.bin as bin1, b.gene as gene1, count(distinct read_name) as reads
     from (select read_name, case when turned then l1 else l0 end as a, case when turned then l0 else l1 end as b from f where {_ALLOWED}) group by all""")
 def fusion_locus_support(spark, sf_dir):
@@ -316,8 +317,9 @@ _SIDE = ", ".join(f"case when turned then {c}1 else {c}0 end as {c}a, case when
 
 
 @query(f"""
-    with l as {_LOCI}, f as {_FOUND},
-    s as (select read_name, case when turned then l1 else l0 end as a, case when turned then l0 else l1 end as b, {_SIDE} from f where {_ALLOWED}),
+    with {_CLEAR}, l as {_LOCI}, f as {_FOUND},
+    s as (select * from (select read_name, aln0, aln1, case when turned then l1 else l0 end as a, case when turned then l0 else l1 end as b, {_SIDE} from f where {_ALLOWED})
+          qualify row_number() over (partition by read_name, a, b order by aln0, aln1) = 1),
     p as (select *, least(qea, qeb) - greatest(qsa, qsb) as overlap_gap,
             case when qea > qeb then case when reva then tea else tsa end else case when reva then tsa else tea end end as pos0,
             case when qea > qeb then case when revb then tsb else teb end else case when revb then teb else tsb end end as pos1,
@@ -338,9 +340,9 @@ def fusion_events(spark, sf_dir):
     return structural.fusion_events(points, load(spark, sf_dir, "targets"), min_reads=1)
 
 
-@query("select s.ref_id, s.pos, al0, al1 from sites s where exists (select 1 from targets t where ord <= 20 and t.ref_id = s.ref_id and s.pos between greatest(st - 5000, 0) and en + 5000)")
+@query("select s.ref_id, s.pos, al0, al1 from sites s where exists (select 1 from targets t where t.ref_id = s.ref_id and s.pos between greatest(st - 5000, 0) and en + 5000)")
 def one_sided_partners(spark, sf_dir):
-    return structural.near_partners(load(spark, sf_dir, "sites"), load(spark, sf_dir, "targets").where("ord <= 20"))
+    return structural.near_partners(load(spark, sf_dir, "sites"), load(spark, sf_dir, "targets"))
 
 
 @query(f"""
@@ -535,7 +537,7 @@ def pixel_density(spark, sf_dir):
 
 @query()
 def nw_align(spark, sf_dir):
-    seqs = alignments(spark, sf_dir).where("aln_no = 1").select("read_name", "seq32", F.concat(F.substring("seq32", 1, 10), F.substring("seq32", 14, 19)).alias("query"))
+    seqs = alignments(spark, sf_dir).select("read_name", "seq32", F.concat(F.substring("seq32", 1, 10), F.substring("seq32", 14, 19)).alias("query"))
     return structural.align_pairs(seqs.withColumnRenamed("seq32", "ref"))
 
 
@@ -580,13 +582,15 @@ def _gene_lines(spark, sf_dir):
 
 
 @query("""
-    with c as (select ref_id, row_number() over (partition by ref_id order by chunk_no) - 1 as k, rpad(seq, 400, 'N') as seq from refseq),
+    with c as (select ref_id, row_number() over (partition by ref_id order by chunk_no, i) - 1 as k, rpad(substr(seq, (i * 400 + 1)::int, 400), 400, 'N') as seq
+               from (select *, unnest(range((length(seq) + 399) // 400)) as i from refseq)),
     r as (select s_suppkey as region, (s_suppkey % 24)::int as ref_id, (s_suppkey * 37 % 2500)::int as st, (s_suppkey * 37 % 2500 + s_nationkey * 60)::int as en from supplier)
     select region, coalesce(string_agg(substr(seq, (greatest(st - k * 400, 0) + 1)::int, (least(en - k * 400, 400) - greatest(st - k * 400, 0))::int), '' order by k), '') as seq
     from r left join c on r.ref_id = c.ref_id and st < (k + 1) * 400 and en > k * 400 and en > st group by region""")
 def reference_regions(spark, sf_dir):
-    place = Window.partitionBy("ref_id").orderBy("chunk_no")
-    chunks = load(spark, sf_dir, "refseq").select("ref_id", (F.row_number().over(place) - 1).alias("chunk_no"), F.rpad("seq", 400, "N").alias("seq"))
+    place = Window.partitionBy("ref_id").orderBy("chunk_no", "i")
+    pieces = load(spark, sf_dir, "refseq").where("length(seq) > 0").withColumn("i", F.expr("explode(sequence(0, (length(seq) - 1) div 400))"))
+    chunks = pieces.select("ref_id", (F.row_number().over(place) - 1).alias("chunk_no"), F.rpad(F.substring("seq", (F.col("i") * 400 + 1).cast("int"), F.lit(400)), 400, "N").alias("seq"))
     key = F.col("s_suppkey")
     regions = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(key.alias("region"), (key % 24).cast("int").alias("ref_id"), (key * 37 % 2500).cast("int").alias("st"), (key * 37 % 2500 + F.col("s_nationkey") * 60).cast("int").alias("en"))
     return fasta.region_sequences(chunks, regions, 400, "ref_id").select("region", "seq")
