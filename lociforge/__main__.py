@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociforge.functions import contig
 from lociforge.operators import coverage, pileup, structural
 from lociforge.plans import pipeline
 from lociforge.sources import bam, config, readers, schema, sinks
@@ -20,13 +21,15 @@ from lociforge.sources import bam, config, readers, schema, sinks
 TABLES = {"coverage": ("repeats",), "maf": ("sites",), "qc": ("targets",), "focal": ("targets",), "fusions": ("targets",), "deldup": (), "itd": ("targets",), "reads": ()}
 
 
-def contig_numbers(spark: SparkSession, path: str) -> tuple[dict[str, int], int]:
-    """Number by name, and the longest contig; an index has tens to thousands of lines."""
-    names, longest = {}, 0
+def contig_numbers(spark: SparkSession, path: str) -> tuple[dict[str, int], DataFrame]:
+    """Number by name, and the contigs as (ref_id, name, chrom, length); an index has tens to thousands of lines."""
+    names, rows = {}, []
     for (line,) in spark.read.text(path).where("trim(value) <> ''").collect():
         name, length = line.split("\t")[:2]
-        names[name], longest = len(names), max(longest, int(length))
-    return names, longest
+        rows.append((len(names), name, int(length)))
+        names[name] = len(names)
+    translated = contig.translate(spark.createDataFrame(rows, "ref_id int, name string, length int"), "name", contig.table(spark))
+    return names, translated.select("ref_id", "name", F.when(F.col("index").isNotNull() | F.col("chr_name").startswith("chr"), F.col("chr_name")).alias("chrom"), "length")
 
 
 def numbered(df: DataFrame, column: str, numbers: dict[str, int]) -> DataFrame:
@@ -45,15 +48,15 @@ def read_alignments(spark: SparkSession, path: str) -> DataFrame:
 
 
 def regions(spark: SparkSession, path: str | None, numbers: dict[str, int]) -> DataFrame:
-    """A BED file as (ref_id, st, en, nm, ord); ``ord`` is the regions' order by place.  Without a file: none."""
+    """A BED file as (ref_id, st, en, nm, ord); ``ord`` rises in the file's order.  Without a file: none."""
     if path is None:
-        return spark.createDataFrame([], "ref_id int, st int, en int, nm string, ord int")
-    named = numbered(readers.read_bed(spark, path), "segment", numbers)
-    return named.select("ref_id", F.col("start").alias("st"), F.col("end").alias("en"), F.col("name").alias("nm"), F.expr("cast(row_number() over (partition by ref_id order by start, end, name) as int)").alias("ord"))
+        return spark.createDataFrame([], "ref_id int, st int, en int, nm string, ord long")
+    named = numbered(readers.read_bed(spark, path).withColumn("ord", F.monotonically_increasing_id()), "segment", numbers)
+    return named.select("ref_id", F.col("start").alias("st"), F.col("end").alias("en"), F.col("name").alias("nm"), "ord")
 
 
 def inputs(spark: SparkSession, args: argparse.Namespace) -> pipeline.Inputs:
-    numbers, longest = contig_numbers(spark, args.contigs)
+    numbers, contigs = contig_numbers(spark, args.contigs)
     sites = spark.createDataFrame([], "ref_id int, pos int, al0 string, al1 string")
     if args.sites:
         sites = numbered(readers.read_sites(spark, args.sites), "chrom", numbers).select("ref_id", "pos", F.col("ref").alias("al0"), F.col("alt").alias("al1"))
@@ -61,7 +64,7 @@ def inputs(spark: SparkSession, args: argparse.Namespace) -> pipeline.Inputs:
     if args.genome:
         with open(args.genome) as f:
             genome = config.read_genome(f.read()).centromeres
-    return pipeline.Inputs(read_alignments(spark, args.alignments), regions(spark, args.targets, numbers), regions(spark, args.repeats, numbers), sites, longest, centromeres=genome)
+    return pipeline.Inputs(read_alignments(spark, args.alignments), regions(spark, args.targets, numbers), regions(spark, args.repeats, numbers), sites, contigs, centromeres=genome)
 
 
 def table(name: str, given: pipeline.Inputs, t: pipeline.Thresholds) -> DataFrame:

@@ -28,20 +28,27 @@ def bin_counts(alignments: DataFrame, width: int = BIN, contig_length: int | Non
     return starts.groupBy("ref_id", F.floor(F.col("start") / width).cast("int").alias("bin")).agg(F.count("*").alias("reads"))
 
 
-def masked_bin_depth(alignments: DataFrame, repeats: DataFrame, contig_length: int, width: int = BIN, min_unmasked: float = MIN_UNMASKED) -> DataFrame:
+def with_length(df: DataFrame, contig_length: int | DataFrame) -> DataFrame:
+    """``df`` with ``_length``: one for all contigs, or that of its own in a table (ref_id, length), of which rows on other contigs go."""
+    if isinstance(contig_length, DataFrame):
+        return df.join(contig_length.select("ref_id", F.col("length").alias("_length")), "ref_id")
+    return df.withColumn("_length", F.lit(contig_length))
+
+
+def masked_bin_depth(alignments: DataFrame, repeats: DataFrame, contig_length: int | DataFrame, width: int = BIN, min_unmasked: float = MIN_UNMASKED) -> DataFrame:
     """Unmasked starts per bin, scaled to a full bin; bins with little unmasked sequence are left out.
 
     Repeats become disjoint intervals.  A start is masked if one holds it: an anti-join on (contig, bin), never a scan of all repeats.
-    A short last bin is compared with the full width.
+    A short last bin is compared with the full width; ``contig_length`` may be a table (ref_id, length), each contig its own.
     """
     merged = union_intervals(repeats.select("ref_id", "st", "en").where("st < en"))
-    clipped = merged.select("ref_id", "st", F.least(F.col("en"), F.lit(contig_length)).alias("en")).where("st < en")
+    clipped = with_length(merged, contig_length).select("ref_id", "st", F.least("en", "_length").alias("en")).where("st < en")
     dealt = clipped.withColumn("bin", F.explode(bins(F.col("st"), F.col("en") - 1, width))).select(F.col("ref_id").alias("_r"), F.col("bin").alias("_b"), "st", "en")
-    starts = _starts(alignments).where(F.col("start") < contig_length).withColumn("bin", F.floor(F.col("start") / width).cast("int"))
+    starts = with_length(_starts(alignments), contig_length).where(F.col("start") < F.col("_length")).withColumn("bin", F.floor(F.col("start") / width).cast("int"))
     free = starts.join(dealt, (F.col("ref_id") == F.col("_r")) & (F.col("bin") == F.col("_b")) & (F.col("start") >= F.col("st")) & (F.col("start") < F.col("en")), "left_anti")
-    reads = free.groupBy("ref_id", "bin").agg(F.count("*").alias("reads"))
+    reads = free.groupBy("ref_id", "bin").agg(F.count("*").alias("reads"), F.max("_length").alias("_length"))
     masked = covered_by_bin(clipped, width)
-    size = F.least((F.col("bin") + 1) * width, F.lit(contig_length)) - F.col("bin") * width
+    size = F.least((F.col("bin") + 1) * width, F.col("_length")) - F.col("bin") * width
     both = reads.join(masked, ["ref_id", "bin"], "left").withColumn("unmasked", size - F.coalesce("covered", F.lit(0)))
     return both.where(F.col("unmasked") > min_unmasked * width).select("ref_id", "bin", "reads", "unmasked", (F.col("reads") * width / F.col("unmasked")).alias("depth"))
 

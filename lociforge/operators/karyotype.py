@@ -424,22 +424,46 @@ def iscn_string(cn: Mapping[str, int]) -> str:
     return f"seq {', '.join(groups)}"
 
 
-def call_karyotypes(segments: DataFrame, group: str = "sample") -> DataFrame:
+def call_karyotypes(segments: DataFrame, group: str = "sample", maf: DataFrame | None = None) -> DataFrame:
     """Per sample and arm: median, cn and the sample's levels, blast ratio and karyotype string.
 
-    ``segments``: sample, segment, coverage.  A sample has a few thousand bins at most, so its kernel is one task; samples run in parallel.
+    ``segments``: sample, segment, coverage; ``maf``: sample, segment, maf (minor allele frequency), which decides between states that
+    coverage alone leaves open.  A sample has a few thousand bins and a panel's sites, so its kernel is one task; samples run in parallel.
     """
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
+    def run(frame: pd.DataFrame, sites: pd.DataFrame) -> pd.DataFrame:
+        if not len(frame):
+            return pd.DataFrame(columns=["sample", "segment", "median", "cn", "levels", "blast_ratio", "karyotype", "iscn"])
         arms = {n: g.to_numpy(float) for n, g in frame.groupby("segment").coverage}
         medians = {n: _upper(v) for n, v in arms.items()}
         levels = find_levels(arms)
-        cn = assign(medians, resolve_states(levels))
+        peaks = maf_peaks(levels, medians, {n: g.to_numpy(float) for n, g in sites.groupby("segment").maf}) if len(sites) else None
+        cn = assign(medians, resolve_states(levels, peaks), peaks)
         names = sorted(arms)
-        return pd.DataFrame({"sample": frame["sample"].iloc[0] if len(frame) else "", "segment": names, "median": [medians[n] for n in names], "cn": [cn[n] for n in names], "levels": [[v for v, _ in levels]] * len(names), "blast_ratio": _blast(cn, medians), "karyotype": karyotype_string(cn), "iscn": iscn_string(cn)})
+        return pd.DataFrame({"sample": frame["sample"].iloc[0], "segment": names, "median": [medians[n] for n in names], "cn": [cn[n] for n in names], "levels": [[v for v, _ in levels]] * len(names), "blast_ratio": _blast(cn, medians), "karyotype": karyotype_string(cn), "iscn": iscn_string(cn)})
 
     known = segments.where("segment is not null").select(F.col(group).alias("sample"), "segment", "coverage")
-    return known.groupBy("sample").applyInPandas(run, "sample string, segment string, median double, cn int, levels array<double>, blast_ratio double, karyotype string, iscn string")
+    if maf is None:
+        sites = segments.sparkSession.createDataFrame([], "sample string, segment string, maf double")
+    else:
+        sites = maf.where("segment is not null and maf is not null").select(F.col(group).alias("sample"), "segment", "maf")
+    return known.groupBy("sample").cogroup(sites.groupBy("sample")).applyInPandas(run, "sample string, segment string, median double, cn int, levels array<double>, blast_ratio double, karyotype string, iscn string")
+
+
+def call_corrected(segments: DataFrame, maf: DataFrame | None = None, linear: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Karyotypes in two passes, and the corrected bins: the first pass's autosomal arms with the majority's copies are what GC is fitted on.
+
+    ``segments``: sample, segment, coverage, gc.  The linear fit is one line over all given samples, the local one per sample.
+    """
+    first = call_karyotypes(segments, maf=maf)
+    arms = first.select("sample", "segment", "cn").where(~F.col("segment").rlike("X|Y|M|PAR"))
+    counted = arms.groupBy("sample", "cn").agg(F.count("*").alias("n"))
+    majority = counted.groupBy("sample").agg(F.max_by("cn", F.struct(F.col("n"), -F.col("cn"))).alias("cn"))
+    fitted = arms.join(majority, ["sample", "cn"]).select("sample", "segment", F.lit(True).alias("fit"))
+    marked = segments.join(fitted, ["sample", "segment"], "left").withColumn("fit", F.coalesce("fit", F.lit(False)))
+    corrected = gc_correct_linear(marked, marked.where("fit")) if linear else gc_correct_loess(marked)
+    bins = corrected.drop("fit").withColumn("coverage", F.col("corrected")).drop("corrected")
+    return call_karyotypes(bins, maf=maf), bins
 
 
 def baf_layout(maf: DataFrame, width: float = 1.0, by: str = "ref_id") -> DataFrame:

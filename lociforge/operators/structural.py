@@ -127,6 +127,15 @@ def fusion_events(points: DataFrame, targets: DataFrame, margin: int = MARGIN, m
     return clustered
 
 
+def drop_rare_one_sided(events: DataFrame, depths: DataFrame, min_fraction: float) -> DataFrame:
+    """``events`` without those one-sided ones whose reads are fewer than ``min_fraction`` of their gene's depth (nm, depth); genes without depth keep theirs."""
+    gene = F.when(F.col("g0.gene") == "", F.col("g1.gene")).otherwise(F.col("g0.gene"))
+    one_sided = (F.col("g0.gene") == "") | (F.col("g1.gene") == "")
+    known = depths.where("depth > 0").select(F.col("nm").alias("_nm"), F.col("depth").alias("_depth"))
+    rare = one_sided & F.col("_depth").isNotNull() & (F.col("supporting") / F.col("_depth") < min_fraction)
+    return events.join(known, gene == F.col("_nm"), "left").where(~F.coalesce(rare, F.lit(False))).drop("_nm", "_depth")
+
+
 def near_partners(points: DataFrame, genes: DataFrame, margin: int = MARGIN) -> DataFrame:
     """Points (ref_id, pos) within the widened span of any gene, ends included."""
     wide = F.broadcast(genes.select(F.col("ref_id").alias("_r"), F.greatest(F.col("st") - margin, F.lit(0)).alias("_st"), (F.col("en") + margin).alias("_en")))  # the panel
@@ -165,20 +174,24 @@ def copy_ratio(depth: Column, baseline: Column, tumour: Column | None = None) ->
     return F.greatest(plain, F.lit(0.0))
 
 
-def focal_copies(depths: DataFrame, excluded: tuple[str, ...] = (), tumour: float | None = None) -> DataFrame:
-    """(nm, depth, focal): gene copies against the upper median of all genes but those whose name holds an excluded part."""
-    base = depths
+def focal_copies(depths: DataFrame, excluded: tuple[str, ...] = (), tumour: float | None = None, diploid: list[str] | None = None) -> DataFrame:
+    """(nm, depth, focal): gene copies against the upper median of the diploid genes (null: all) but those whose name holds an excluded part.
+
+    Where that leaves none, the baseline is that of all genes.
+    """
+    base = depths if diploid is None else depths.where(F.col("nm").isin(diploid))
     for part in excluded:
         base = base.where(~F.col("nm").contains(part))
-    line = F.broadcast(base.agg(upper_median(F.col("depth")).alias("baseline")))  # one row
+    line = F.broadcast(base.agg(upper_median(F.col("depth")).alias("some")).join(depths.agg(upper_median(F.col("depth")).alias("every"))).select(F.coalesce("some", "every").alias("baseline")))  # one row
     return depths.join(line).select("nm", "depth", copy_ratio(F.col("depth"), F.col("baseline"), None if tumour is None else F.lit(tumour)).alias("focal"))
 
 
-def local_copies(bins: DataFrame, genes: DataFrame, tumour: float | None = None) -> DataFrame:
-    """(nm, depth, local): unweighted mean depth of the bins that a gene overlaps, against the upper median of covered bins."""
+def local_copies(bins: DataFrame, genes: DataFrame, tumour: float | None = None, baseline: float | None = None) -> DataFrame:
+    """(nm, depth, local): unweighted mean depth of the bins that a gene overlaps, against ``baseline`` (null: the upper median of covered bins)."""
     hits = overlap_join(bins.select("ref_id", "b_st", "b_en", "coverage"), genes.select("ref_id", "st", "en", "nm"), "ref_id", "b_st", "b_en", "st", "en", 1_000_000)
     per = hits.groupBy("nm").agg(F.avg("coverage").alias("depth"))
-    line = F.broadcast(bins.where("coverage > 0").agg(upper_median(F.col("coverage")).alias("baseline")))  # one row
+    middle = upper_median(F.col("coverage")) if baseline is None else F.lit(float(baseline))
+    line = F.broadcast(bins.where("coverage > 0").agg(middle.alias("baseline")))  # one row
     return per.join(line).select("nm", "depth", copy_ratio(F.col("depth"), F.col("baseline"), None if tumour is None else F.lit(tumour)).alias("local"))
 
 

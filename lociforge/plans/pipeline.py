@@ -28,13 +28,13 @@ class Thresholds:
 
 @dataclass(frozen=True)
 class Inputs:
-    """What a run reads; ``regions`` are those searched for insertions."""
+    """What a run reads; ``regions`` are those searched for insertions, ``contig_length`` is one for all contigs or a table (ref_id, chrom, length)."""
 
     alignments: DataFrame
     targets: DataFrame
     repeats: DataFrame
     sites: DataFrame
-    contig_length: int
+    contig_length: int | DataFrame
     regions: DataFrame | None = None
     centromeres: Mapping[str, tuple[int, int]] = field(default_factory=dict)
 
@@ -58,11 +58,17 @@ def analyses(inputs: Inputs, t: Thresholds = Thresholds()) -> dict[str, DataFram
     }
 
 
-def segments(depth: DataFrame, width: int, centromeres: Mapping[str, tuple[int, int]]) -> DataFrame:
-    """Binned depth as (segment, coverage) rows; contigs 0 to 23 are chromosomes 1 to 22, X and Y."""
+def named(df: DataFrame, contigs: int | DataFrame) -> DataFrame:
+    """``df`` with ``chrom``: by a table (ref_id, chrom), rows on unnamed contigs gone; without one, contigs 0 to 23 are chromosomes 1 to 22, X and Y."""
+    if isinstance(contigs, DataFrame):
+        return df.join(contigs.where("chrom is not null").select("ref_id", "chrom"), "ref_id")
     number = F.col("ref_id")
-    chrom = F.concat(F.lit("chr"), F.when(number == 22, "X").when(number == 23, "Y").otherwise((number + 1).cast("string")))
-    placed = depth.select(chrom.alias("chrom"), (F.col("bin") * width).alias("st"), ((F.col("bin") + 1) * width).alias("en"), F.col("depth").alias("coverage"))
+    return df.withColumn("chrom", F.concat(F.lit("chr"), F.when(number == 22, "X").when(number == 23, "Y").otherwise((number + 1).cast("string"))))
+
+
+def segments(depth: DataFrame, width: int, centromeres: Mapping[str, tuple[int, int]], contigs: int | DataFrame = 0) -> DataFrame:
+    """Binned depth as (chrom, st, en, segment, coverage) rows."""
+    placed = named(depth, contigs).select("chrom", (F.col("bin") * width).alias("st"), ((F.col("bin") + 1) * width).alias("en"), F.col("depth").alias("coverage"))
     return placed.withColumn("segment", karyotype.arm(F.col("chrom"), F.col("st"), F.col("en"), centromeres))
 
 
@@ -76,17 +82,35 @@ def breakpoint_consensus(reads: DataFrame, fusions: Sequence[Mapping], min_reads
     return [r.asDict() for r in events.select("event", "gene0", "pos0", "gene1", "pos1").join(found, "event").orderBy(F.col("event").cast("int")).drop("event").collect()]
 
 
+def copies(inputs: Inputs, bins: DataFrame, calls: Sequence[Mapping]) -> tuple[DataFrame, DataFrame]:
+    """Focal and local copies against a karyotype's diploid arms: their genes' depths, and the mean of their medians.  The tumour share is 1 at most."""
+    diploid = {c["segment"]: c["median"] for c in calls if c["cn"] == 2}
+    share = next((c["blast_ratio"] for c in calls if c["blast_ratio"] is not None), None)
+    share = None if share is None else min(share, 1.0)
+    placed = named(inputs.targets, inputs.contig_length).withColumn("segment", karyotype.arm(F.col("chrom"), F.col("st"), F.col("en"), inputs.centromeres))
+    genes = placed.where(F.col("segment").isin(list(diploid)) if diploid else ~F.col("chrom").isin("chrX", "chrY"))
+    names = [r[0] for r in genes.select("nm").distinct().collect()]  # the panel
+    focal = structural.focal_copies(pileup.focal_depth(inputs.alignments, inputs.targets), tumour=share, diploid=names)
+    numbers = placed.select("ref_id", "chrom").distinct()
+    by_number = bins.join(numbers, "chrom").select("ref_id", F.col("st").alias("b_st"), F.col("en").alias("b_en"), "coverage")
+    return focal, structural.local_copies(by_number, inputs.targets, share, sum(diploid.values()) / len(diploid) if diploid else None)
+
+
 def result_document(spark: SparkSession, inputs: Inputs, t: Thresholds = Thresholds()) -> dict:
     """One sample's result: what is collected are calls and per-gene figures, never reads or bins."""
     tables = analyses(inputs, t)
     rows = lambda df: [r.asDict(recursive=True) for r in df.collect()]
-    calls = rows(karyotype.call_karyotypes(segments(tables["coverage"], t.bin_width, inputs.centromeres).withColumn("sample", F.lit("sample"))))
+    bins = segments(tables["coverage"], t.bin_width, inputs.centromeres, inputs.contig_length).withColumn("sample", F.lit("sample"))
+    allele = named(tables["maf"], inputs.contig_length).withColumn("segment", karyotype.arm(F.col("chrom"), F.col("pos"), F.col("pos"), inputs.centromeres))
+    maf = allele.select(F.lit("sample").alias("sample"), "segment", (F.least("ref", "alt") / (F.col("ref") + F.col("alt"))).alias("maf"))
+    calls = rows(karyotype.call_karyotypes(bins, maf=maf))
+    focal, local = copies(inputs, bins, calls)
     fusions = rows(tables["fusions"])
     stamp = spark.range(1).select(F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")).first()[0]
     return {
         "version": "1", "timestamp": stamp, "qc": rows(tables["qc"])[0] | rows(tables["reads_aligned"])[0],
         "fusions": fusions,
         "karyotype": {"karyotype_string": calls[0]["karyotype"], "iscn_string": calls[0]["iscn"], "blast_ratio": calls[0]["blast_ratio"], "karyotype": {c["segment"]: c["cn"] for c in calls}, "medians": {c["segment"]: c["median"] for c in calls}} if calls else None,
-        "cnv": {"focal": {r["nm"]: r["focal"] for r in rows(tables["focal"])}, "variants": rows(tables["deldups"])},
+        "cnv": {"focal": {r["nm"]: r["focal"] for r in rows(focal)}, "local": {r["nm"]: r["local"] for r in rows(local)}, "variants": rows(tables["deldups"])},
         "itd": rows(tables["itd"]), "breakpoint_consensus": breakpoint_consensus(inputs.alignments, fusions, t.fusion_reads) or None,
     }
