@@ -63,12 +63,12 @@ def query_coords(pos0: Column, cigar: Column, flag: Column) -> Column:
     return F.struct(F.when(rev, length - qe).otherwise(qs).alias("qs"), F.when(rev, length - qs).otherwise(qe).alias("qe"), ts.alias("ts"), (ts + span(cigar)).alias("te"), rev.alias("rev"))
 
 
-def op_intervals(alignments: DataFrame, ops: tuple[str, ...], *keep: str, seq: str | None = None) -> DataFrame:
-    """A row per operation of the kinds named: ``keep`` columns, op, its length, reference start (1-based), end, and query offset.
+#: Operations placed by one running sum; longer CIGARs are placed piece by piece.
+PIECE = 128
 
-    Running offsets come from prefix sums within the row's own array, so nothing is shuffled and bases are never exploded.
-    With a ``seq`` column, ``bases`` is the operation's piece of it, cut before the rows are dealt out.
-    """
+
+def _placed(cigar: Column, ops: tuple[str, ...]) -> Column:
+    """``struct<t, q, out>`` of a CIGAR: reference and query bases used, and the operations of the kinds named with their offsets."""
     zero = F.struct(F.lit(0).alias("t"), F.lit(0).alias("q"), F.array().cast("array<struct<op:string,len:int,t:int,q:int>>").alias("out"))
 
     def step(s: Column, x: Column) -> Column:
@@ -80,7 +80,36 @@ def op_intervals(alignments: DataFrame, ops: tuple[str, ...], *keep: str, seq: s
             F.when(x["op"].isin(*ops), F.concat(s["out"], F.array(row))).otherwise(s["out"]).alias("out"),
         )
 
-    placed = F.aggregate("cigar", zero, step, lambda s: s["out"])
+    return F.aggregate(cigar, zero, step)
+
+
+def placed_ops(cigar: Column, ops: tuple[str, ...]) -> Column:
+    """The operations of the kinds named as array<struct<op, len, t, q>>, with offsets from the alignment's start.
+
+    A running sum copies what it has gathered at every step, so a long CIGAR is cut into pieces whose sums are added afterwards: the work
+    per operation is a piece and the number of pieces, not the whole array.
+    """
+    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size(cigar) - 1) / PIECE).cast("int")), lambda i: _placed(F.slice(cigar, i * PIECE + 1, F.lit(PIECE)), ops))
+    zero = F.struct(F.lit(0).alias("t"), F.lit(0).alias("q"), F.array().cast("array<struct<t:int,q:int,out:array<struct<op:string,len:int,t:int,q:int>>>>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        piece = F.struct(s["t"].alias("t"), s["q"].alias("q"), x["out"].alias("out"))
+        return F.struct((s["t"] + x["t"]).alias("t"), (s["q"] + x["q"]).alias("q"), F.concat(s["out"], F.array(piece)).alias("out"))
+
+    def moved(piece: Column) -> Column:
+        return F.transform(piece["out"], lambda x: F.struct(x["op"].alias("op"), x["len"].alias("len"), (x["t"] + piece["t"]).alias("t"), (x["q"] + piece["q"]).alias("q")))
+
+    long = F.flatten(F.transform(F.aggregate(pieces, zero, step)["out"], moved))
+    return F.when(F.size(cigar) <= PIECE, _placed(cigar, ops)["out"]).otherwise(long)
+
+
+def op_intervals(alignments: DataFrame, ops: tuple[str, ...], *keep: str, seq: str | None = None) -> DataFrame:
+    """A row per operation of the kinds named: ``keep`` columns, op, its length, reference start (1-based), end, and query offset.
+
+    Running offsets come from prefix sums within the row's own array, so nothing is shuffled and bases are never exploded.
+    With a ``seq`` column, ``bases`` is the operation's piece of it, cut before the rows are dealt out.
+    """
+    placed = placed_ops(F.col("cigar"), ops)
     if seq is not None:
         placed = F.transform(placed, lambda x: x.withField("bases", F.substring(F.col(seq), x["q"] + 1, x["len"])))
     rows = alignments.select(*keep, F.col("pos0").alias("_pos0"), F.explode(placed).alias("x"))

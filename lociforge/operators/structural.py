@@ -9,16 +9,21 @@ from pyspark.sql import functions as F
 from lociforge.functions import cigar
 from lociforge.functions.stats import upper_median
 from lociforge.operators import kernels
-from lociforge.operators.intervals import overlap_join
+from lociforge.operators.intervals import bins, overlap_join
 
 LOCUS = 10_000
 MARGIN, MIN_ANCHOR = 5000, 500
 
 
-def split_alignments(alignments: DataFrame) -> DataFrame:
-    """Mapped records of non-duplex reads (no ``;`` in the name) with query coordinates and the number of records of their read."""
+def split_alignments(alignments: DataFrame, reads: DataFrame | None = None) -> DataFrame:
+    """Mapped records of non-duplex reads (no ``;`` in the name) with query coordinates and the number of records of their read.
+
+    With ``reads`` (names, as ``pileup.hit_reads`` finds them) only theirs: a fusion needs a record at a target, so others need not be shuffled.
+    """
     kept = alignments.where((F.col("ref_id") >= 0) & ~F.col("read_name").contains(";"))
     read = kept.select("read_name", "aln_no", "ref_id", cigar.query_coords(F.col("pos0"), F.col("cigar"), F.col("flag")).alias("x"))
+    if reads is not None:
+        read = read.join(reads.select("read_name"), "read_name", "left_semi")
     return read.select("read_name", "aln_no", "ref_id", "x.*", F.count("*").over(Window.partitionBy("read_name")).alias("parts"))
 
 
@@ -50,15 +55,17 @@ def ambiguous(splits: DataFrame, targets: DataFrame, margin: int = MARGIN, min_a
 
 def loci(splits: DataFrame, targets: DataFrame, margin: int = MARGIN, min_anchor: int = MIN_ANCHOR, width: int = 100_000) -> DataFrame:
     """Records with ``loci``: that of the first target they reach, or every 10 kb bin they touch and one more, without a gene."""
-    wide = targets.select("ref_id", "st", "en", "nm", "ord", F.greatest(F.col("st") - margin, F.lit(0)).alias("g_st"), (F.col("en") + margin).alias("g_en"))
-    met = overlap_join(splits.select("read_name", "aln_no", "ref_id", "ts", "te"), wide, "ref_id", "ts", "te", "g_st", "g_en", width)
-    first = met.where(F.least("g_en", "te") - F.greatest("g_st", "ts") > min_anchor).groupBy("read_name", "aln_no").agg(
-        F.min(F.struct("ord", F.floor((F.col("st") + F.floor((F.col("en") - F.col("st")) / 2)) / LOCUS).cast("int").alias("bin"), "nm")).alias("g")
-    )
-    bins = F.sequence(F.floor(F.col("ts") / LOCUS).cast("int"), F.floor(F.col("te") / LOCUS).cast("int") + 1)
-    unnamed = F.transform(bins, lambda b: F.struct(F.col("ref_id").alias("ref_id"), b.alias("bin"), F.lit("").alias("gene")))
+    wide = targets.select(F.col("ref_id").alias("_r"), "st", "en", "nm", "ord", F.greatest(F.col("st") - margin, F.lit(0)).alias("g_st"), (F.col("en") + margin).alias("g_en"))
+    wide = wide.withColumn("_t", F.explode(bins(F.col("g_st"), F.col("g_en") - 1, width)))
+    dealt = splits.withColumn("_b", F.explode_outer(bins(F.col("ts"), F.col("te") - 1, width)))
+    anchor = F.least("g_en", "te") - F.greatest("g_st", "ts")
+    met = dealt.join(wide, (F.col("ref_id") == F.col("_r")) & (F.col("_b") == F.col("_t")) & (anchor > max(min_anchor, 0)), "left")
+    place = F.struct("ord", F.floor((F.col("st") + F.floor((F.col("en") - F.col("st")) / 2)) / LOCUS).cast("int").alias("bin"), "nm")
+    reached = met.groupBy(*splits.columns).agg(F.min(F.when(F.col("_r").isNotNull(), place)).alias("g"))  # a record's bins meet again here, without a second look at the records
+    touched = F.sequence(F.floor(F.col("ts") / LOCUS).cast("int"), F.floor(F.col("te") / LOCUS).cast("int") + 1)
+    unnamed = F.transform(touched, lambda b: F.struct(F.col("ref_id").alias("ref_id"), b.alias("bin"), F.lit("").alias("gene")))
     named = F.array(F.struct(F.col("ref_id").alias("ref_id"), F.col("g.bin").alias("bin"), F.col("g.nm").alias("gene")))
-    return splits.join(first, ["read_name", "aln_no"], "left").withColumn("loci", F.when(F.col("g").isNotNull(), named).otherwise(unnamed)).withColumn("gene", F.coalesce("g.nm", F.lit(""))).drop("g")
+    return reached.withColumn("loci", F.when(F.col("g").isNotNull(), named).otherwise(unnamed)).withColumn("gene", F.coalesce("g.nm", F.lit(""))).drop("g")
 
 
 def locus_pairs(located: DataFrame, one_sided: list[str] | None = None, skip_self: tuple[str, ...] = ()) -> DataFrame:

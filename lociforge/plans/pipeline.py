@@ -43,7 +43,8 @@ def analyses(inputs: Inputs, t: Thresholds = Thresholds()) -> dict[str, DataFram
     """The analyses' tables, not yet run; they share one pruned scan if the caller persists ``alignments``."""
     reads = inputs.alignments
     splits = structural.split_alignments(reads)
-    clear = splits.join(structural.ambiguous(splits, inputs.targets, t.margin, t.min_anchor), ["read_name", "aln_no"], "left_anti")
+    at_targets = structural.split_alignments(reads, pileup.hit_reads(reads, inputs.targets, t.margin, t.min_anchor))
+    clear = at_targets.join(structural.ambiguous(at_targets, inputs.targets, t.margin, t.min_anchor), ["read_name", "aln_no"], "left_anti")
     located = structural.loci(clear, inputs.targets, t.margin, t.min_anchor)
     points = structural.breakpoints(structural.locus_pairs(located), t.min_anchor)
     return {

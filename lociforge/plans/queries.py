@@ -299,7 +299,8 @@ _ALLOWED = f"(gene0 <> '' and gene1 <> '' or case when gene0 = '' then gene1 els
 
 
 def _found(spark, sf_dir):
-    targets, splits = load(spark, sf_dir, "targets"), _splits(spark, sf_dir)
+    targets, aln = load(spark, sf_dir, "targets"), alignments(spark, sf_dir)
+    splits = structural.split_alignments(aln, pileup.hit_reads(aln, targets))
     clear = splits.join(structural.ambiguous(splits, targets), ["read_name", "aln_no"], "left_anti")
     return structural.locus_pairs(structural.loci(clear, targets), _ONE_SIDED)
 

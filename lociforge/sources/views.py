@@ -58,10 +58,17 @@ VIEWS: dict[str, str] = {
 TABLES = {"aln": "lineitem", "targets": "supplier", "sites": "orders", "repeats": "part", "cov_bins": "events", "refseq": "documents", "cds": "supplier"}
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """``scan`` dealt out to all cores by ``key`` where its files have fewer splits than that; larger inputs stay as they are read."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def load(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     """A view over the Parquet tables of ``sf_dir``; no temporary view is registered."""
     table = TABLES[view]
-    return spark.sql(re.sub(rf"\bfrom {table}\b", f"from {{{table}}}", VIEWS[view]), **{table: spark.read.parquet(f"{sf_dir}/{table}.parquet")})
+    scan = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.sql(re.sub(rf"\bfrom {table}\b", f"from {{{table}}}", VIEWS[view]), **{table: spread(scan, "l_orderkey") if view == "aln" else scan})
 
 
 def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
