@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociforge.functions import contig
-from lociforge.operators import coverage, pileup, structural
-from lociforge.plans import pipeline
-from lociforge.sources import bam, config, readers, schema, sinks
+from lociforge.operators import annotation, cohort, coverage, pileup, structural
+from lociforge.plans import pipeline, snv
+from lociforge.sources import bam, config, fasta, readers, schema, sinks
 
 #: Analyses that write one table, and what each needs beside alignments.
 TABLES = {"coverage": ("repeats",), "maf": ("sites",), "qc": ("targets",), "focal": ("targets",), "fusions": ("targets",), "deldup": (), "itd": ("targets",), "reads": ()}
@@ -81,6 +81,24 @@ def table(name: str, given: pipeline.Inputs, t: pipeline.Thresholds) -> DataFram
     return out.withColumns({c: F.to_json(c) for c in nested})
 
 
+def variants(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
+    """Small variants of the genes named, from an annotation and an indexed genome."""
+    numbers, _ = contig_numbers(spark, args.contigs)
+    genes = [g for g in args.genes.split(",") if g]
+    longest = numbered(readers.read_gff(spark, args.gff), "seqid", numbers)
+    places = longest.where("type = 'gene'").select(annotation.attribute(F.col("attributes"), "Name").alias("gene"), "ref_id").distinct()
+    cds = annotation.longest_cds(longest).where(F.col("gene").isin(genes)).join(places, "gene")
+    cds = cds.select("gene", "ref_id", F.col("start").alias("st"), F.col("end").alias("en"), "strand")
+    reference = numbered(fasta.read_fasta(spark, args.reference, index=args.contigs), "contig", numbers).select("ref_id", "chunk_no", "seq")
+    stars = {}
+    if args.stars:
+        with open(args.stars) as f:
+            stars = json.load(f)
+    found = snv.small_variants(read_alignments(spark, args.alignments), cds, reference, stars, args.coverage, args.frequency)
+    flat = lambda df: df.withColumns({f.name: F.array_join(f.name, ",") for f in df.schema.fields if f.dataType.typeName() == "array"})
+    return {name: flat(df) for name, df in found.items()}
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="lociforge")
     commands = top.add_subparsers(dest="command", required=True)
@@ -95,6 +113,20 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("--force", action="store_true")
         for field, value in vars(pipeline.Thresholds()).items():
             one.add_argument(f"--{field.replace('_', '-')}", type=type(value), default=value)
+    small = commands.add_parser("snv")
+    for name, text in {"alignments": None, "contigs": "index of the genome", "reference": "the genome as FASTA", "gff": "annotation", "genes": "names, by commas", "out": "a folder: a table each for calls, phases, changes, depths, genotypes"}.items():
+        small.add_argument(f"--{name}", required=True, help=text)
+    small.add_argument("--stars", help="JSON: positions by allele by gene")
+    small.add_argument("--coverage", type=int, default=10)
+    small.add_argument("--frequency", type=float, default=0.3)
+    small.add_argument("--force", action="store_true")
+    many = commands.add_parser("cohort")
+    many.add_argument("--results", required=True, help="pattern of result documents")
+    many.add_argument("--out", required=True)
+    many.add_argument("--genes", default="", help="genes whose copies are shown, by commas")
+    many.add_argument("--reads", type=int, default=3)
+    many.add_argument("--breakpoint-reads", type=int, default=2)
+    many.add_argument("--force", action="store_true")
     report = commands.add_parser("report")
     report.add_argument("--result", required=True)
     report.add_argument("--out", required=True, help="a name that ends in .md or .html")
@@ -114,11 +146,20 @@ def main(argv: Sequence[str] | None = None) -> int:
             f.write(sinks.html_report(text) if args.out.endswith(".html") else text)
     else:
         spark = SparkSession.builder.appName("lociforge").getOrCreate()
+        if args.command == "snv":
+            for name, df in variants(spark, args).items():
+                sinks.write_tsv(df, f"{args.out}/{name}", args.force)
+            return 0
+        if args.command == "cohort":
+            documents = readers.read_results(spark, args.results, readers.DOCUMENT)
+            sinks.write_tsv(cohort.cohort_table(documents, [g for g in args.genes.split(",") if g], min_reads=args.reads, min_breakpoint_reads=args.breakpoint_reads), args.out, args.force)
+            return 0
         thresholds = pipeline.Thresholds(**{k: getattr(args, k) for k in vars(pipeline.Thresholds())})
         given = inputs(spark, args)
         if args.command == "pipeline":
             document = pipeline.result_document(spark, given, thresholds)
             sinks.write_result(document, args.out, args.force)
+            print(sinks.summary(document))
             found = document["breakpoint_consensus"] or []
             sinks.write_fasta([(f"{c['gene0']}:{c['pos0']}-{c['gene1']}:{c['pos1']} reads={c['n_reads']}", c["consensus"]) for c in found], f"{args.out.removesuffix('.json')}.breakpoints.fa", args.force)
         else:

@@ -42,3 +42,23 @@ def wide_table(samples: DataFrame, fusions: DataFrame) -> DataFrame:
     per = fusions.groupBy("sample").agg(listed("two_sided").alias("two"), listed("one_sided").alias("one"))
     out = samples.join(per, "sample", "left")
     return out.select("sample", F.coalesce(joined(F.col("two")), F.lit(MISSING)).alias("fusions"), F.coalesce(joined(F.col("one")), F.lit(MISSING)).alias("one_sided_fusions"))
+
+
+def document_fusions(documents: DataFrame) -> DataFrame:
+    """Fusions of result documents as (sample, id, gene1, gene2, pos1, reads, breakpoints), a row per pair of loci; ``id`` is its first place in the document."""
+    each = documents.select("sample", F.posexplode("fusions").alias("id", "x")).select("sample", "id", "x.*")
+    pair = each.groupBy("sample", F.col("g0.gene").alias("gene1"), F.col("g1.gene").alias("gene2"), "g0", "g1")
+    return pair.agg(F.min("id").alias("id"), F.min_by("pos0", "id").alias("pos1"), F.max("supporting").alias("reads"), F.collect_list(F.struct("n_reads")).alias("breakpoints")).drop("g0", "g1")
+
+
+def cohort_table(documents: DataFrame, genes: Sequence[str] = (), blacklist: Sequence[tuple[str, str]] = (), special: Sequence[str] = (), min_reads: int = 3, min_breakpoint_reads: int = 2) -> DataFrame:
+    """A row per sample: fusions, karyotype, ISCN, tumour share, insertions, and the focal copies of ``genes`` in their order; ``MISSING`` without."""
+    kept = filter_fusions(document_fusions(documents), blacklist, special, min_reads, min_breakpoint_reads)
+    text = F.transform("itd", lambda x: F.concat(x["nm"], F.lit(":"), x["pos"].cast("string"), F.lit(" "), x["length"].cast("string"), F.lit(" nt ("), x["merged"].cast("string"), F.lit(" reads)")))
+    places = lambda c: F.when(c.isNotNull(), F.format_string("%.2f", c))
+    cells = {
+        "karyotype": F.col("karyotype.karyotype_string"), "iscn": F.col("karyotype.iscn_string"), "blast_ratio": places(F.col("karyotype.blast_ratio")),
+        "itd": F.when(F.size("itd") > 0, F.array_join(text, "; ")), **{f"{g}_copies": places(F.try_element_at("cnv.focal", F.lit(g))) for g in genes},
+    }
+    known = [F.when(c.isNull() | (c == ""), MISSING).otherwise(c).alias(name) for name, c in cells.items()]
+    return wide_table(documents.select("sample"), kept).join(documents.select("sample", *known), "sample").orderBy("sample")

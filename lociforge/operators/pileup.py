@@ -72,6 +72,16 @@ def focal_depth(alignments: DataFrame, targets: DataFrame) -> DataFrame:
     return size.join(hit, "nm", "left").select("nm", (F.coalesce("bases", F.lit(0)) / F.col("size")).alias("depth"))
 
 
+def span_depth(alignments: DataFrame, targets: DataFrame, width: int = TARGET_BIN) -> DataFrame:
+    """Per gene name: bases that mapped records span in its region by the region's length, deletions included; of regions with one name the last in the file counts."""
+    reads = alignments.where("ref_id >= 0").select("ref_id", cigar.start1(F.col("pos0")).alias("ts"), (F.col("pos0") + 1 + cigar.span(F.col("cigar"))).alias("te"))
+    last = targets.groupBy("nm").agg(F.max(F.struct("ord", "ref_id", "st", "en")).alias("x")).select("nm", "x.ref_id", "x.st", "x.en")
+    met = overlap_join(reads, last, "ref_id", "ts", "te", "st", "en", width)
+    sums = met.groupBy("nm").agg(F.sum(F.least("te", "en") - F.greatest("ts", "st")).alias("bases"))
+    size = F.col("en") - F.col("st")
+    return last.join(sums, "nm", "left").select("nm", F.when(size > 0, F.coalesce("bases", F.lit(0)) / F.nullif(size, F.lit(0))).otherwise(F.lit(0.0)).alias("depth"))
+
+
 def gene_depth(alignments: DataFrame, targets: DataFrame, margin: int = MARGIN, min_anchor: int = 500, width: int = TARGET_BIN) -> DataFrame:
     """Per target: bases that records span, deletions included, by its length.
 
@@ -127,6 +137,12 @@ def pileup_counts(pileup: DataFrame) -> DataFrame:
     return pileup.groupBy("gene", "cds_pos").agg(F.count("*").alias("depth"), *counts)
 
 
+def mean_depth(counts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Per gene of ``sizes`` (gene, size): the mean depth over its whole coding sequence, places without reads included."""
+    sums = counts.groupBy("gene").agg(F.sum("depth").alias("bases"))
+    return sizes.join(sums, "gene", "left").select("gene", (F.coalesce("bases", F.lit(0)) / F.nullif(F.col("size"), F.lit(0))).alias("depth"))
+
+
 def call_variants(counts: DataFrame, reference: DataFrame, min_coverage: int = 10, min_frequency: float = 0.3) -> DataFrame:
     """The most frequent base other than the reference's, in the order A, C, G, T, gap on ties, where depth and frequency suffice.
 

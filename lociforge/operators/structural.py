@@ -160,16 +160,33 @@ def deldup_candidates(splits: DataFrame, min_anchor: int = MIN_ANCHOR, max_overl
     return both.select("read_name", "aln_no0", "aln_no1", F.col("ref_id0").alias("ref_id"), found.alias("x")).where("x is not null").select("read_name", "aln_no0", "aln_no1", "ref_id", "x.*")
 
 
-def deldup_clusters(candidates: DataFrame, min_reads: int = 3) -> DataFrame:
-    """Candidates of a gene (or contig) and kind in clusters of ``min_reads`` reads or more, 0-based."""
+def _start_runs(candidates: DataFrame, margin: int, width: int = LOCUS) -> DataFrame:
+    """``candidates`` with ``_run``: bins of starts that follow each other closer than ``margin``.  Only a row per bin passes through the ordered window."""
+    dealt = candidates.withColumn("_bin", F.floor(F.col("start") / width))
+    edges = dealt.groupBy("ref_id", "kind", "_bin").agg(F.min("start").alias("_lo"), F.max("start").alias("_hi"))
+    order = Window.partitionBy("ref_id", "kind").orderBy("_bin")
+    apart = F.coalesce(F.col("_lo") - F.lag("_hi").over(order) >= margin, F.lit(True))
+    runs = edges.select("ref_id", "kind", "_bin", apart.cast("int").alias("_apart")).withColumn("_run", F.sum("_apart").over(order)).drop("_apart")
+    return dealt.join(runs, ["ref_id", "kind", "_bin"]).drop("_bin")
+
+
+def deldup_clusters(candidates: DataFrame, min_reads: int = 3, margin: int = 50) -> DataFrame:
+    """Candidates of a contig and kind in clusters of ``min_reads`` reads or more, 0-based.
+
+    Clustering is greedy in the order of read names.  Starts that lie ``margin`` or more apart never share a cluster, so a task takes one run of close starts and
+    cuts it at every such gap; the result is that of a pass over the whole contig.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["read_name", "aln_no0", "aln_no1"])
-        found = kernels.nearest_clusters(zip(frame.start, frame.end, strict=True))
-        rows = [(frame.ref_id.iloc[0], frame.kind.iloc[0], s - 1, e - 1, n) for s, e, n in found if n >= min_reads]
+        frame = frame.sort_values("start")
+        rows = []
+        for _, island in frame.groupby((frame.start.diff() >= margin).cumsum()):
+            island = island.sort_values(["read_name", "aln_no0", "aln_no1"])
+            found = kernels.nearest_clusters(zip(island.start, island.end, strict=True), margin)
+            rows += [(island.ref_id.iloc[0], island.kind.iloc[0], s - 1, e - 1, n) for s, e, n in found if n >= min_reads]
         return pd.DataFrame(rows, columns=["ref_id", "kind", "start", "end", "reads"])
 
-    return candidates.groupBy("ref_id", "kind").applyInPandas(run, "ref_id int, kind string, start int, end int, reads int")
+    return _start_runs(candidates, margin).groupBy("ref_id", "kind", "_run").applyInPandas(run, "ref_id int, kind string, start int, end int, reads int")
 
 
 def copy_ratio(depth: Column, baseline: Column, tumour: Column | None = None) -> Column:

@@ -105,6 +105,13 @@ def focal_depth(spark, sf_dir):
     return pileup.focal_depth(alignments(spark, sf_dir), load(spark, sf_dir, "targets")).withColumn("depth", F.round("depth", 10))
 
 
+@query(f"""select nm, round(coalesce(bases, 0) / (en - st), 10) as depth from (select * from targets qualify row_number() over (partition by nm order by ord desc) = 1)
+           left join (select nm, sum(least(te, en) - greatest(ts, st)) as bases from (select ref_id as r, pos0 + 1 as ts, {_TE} as te from aln)
+                      join targets on r = ref_id and ts < en and st < te group by 1) using (nm)""")
+def span_depth(spark, sf_dir):
+    return pileup.span_depth(alignments(spark, sf_dir), load(spark, sf_dir, "targets")).withColumn("depth", F.round("depth", 10))
+
+
 _MET = f"""(select read_name, aln_no, nm, ord, st + (en - st) // 2 as mid, greatest(least(en, te) - greatest(st, ts), 0) as inside,
                    least(en + 5000, te) - greatest(greatest(st - 5000, 0), ts) as anchor
             from (select *, pos0 + 1 as ts, {_TE} as te from aln) a join targets t on a.ref_id = t.ref_id and ts < en + 5000 and te > greatest(st - 5000, 0))"""
@@ -155,6 +162,12 @@ def cds_pileup(spark, sf_dir):
     return pileup.pileup_counts(_pileup(spark, sf_dir))
 
 
+@query(f"select gene, round(coalesce(bases, 0) / size, 6) as depth from (select gene, sum(en - st + 1) as size from cds group by 1) left join (select gene, sum(depth) as bases from {_COUNTS} group by 1) using (gene)")
+def mean_cds_depth(spark, sf_dir):
+    size = load(spark, sf_dir, "cds").groupBy("gene").agg(F.sum(F.col("en") - F.col("st") + 1).alias("size"))
+    return pileup.mean_depth(pileup.pileup_counts(_pileup(spark, sf_dir)), size).withColumn("depth", F.round("depth", 6))
+
+
 def _reference(counts: DataFrame) -> DataFrame:
     """A made-up reference base per place of the pileup."""
     return counts.select("gene", "cds_pos", F.substring(F.lit("ACGT"), F.col("cds_pos") % 4 + 1, F.lit(1)).alias("ref"))
@@ -497,6 +510,14 @@ def level_suppression(spark, sf_dir):
     return karyotype.suppressed_peaks(karyotype.histogram_peaks(karyotype.histogram(_segments(spark, sf_dir))))
 
 
+# Peaks are walked by falling height; a list of those kept goes along.
+ORACLES["level_suppression"] = f"""
+    with recursive q as ({ORACLES["histogram_peaks"]}), p as (select bin::int as bin, n, row_number() over (order by n desc, bin) as i from q),
+    r as (select 0::bigint as i, []::int[] as kept union all
+          select p.i, case when len(list_filter(kept, lambda k: abs(k - bin) < 3)) = 0 then list_append(kept, bin) else kept end from r join p on p.i = r.i + 1)
+    select bin, n::bigint as n from p where list_contains((select arg_max(kept, i) from r), bin)"""
+
+
 @query()
 def karyotype_levels(spark, sf_dir):
     """Coverage levels per sample, in the order of the histogram's heights."""

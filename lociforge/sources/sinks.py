@@ -24,6 +24,24 @@ def coverage_table(depth: DataFrame, names: DataFrame, width: int, contig_length
     return out.select(F.col("name").alias("chromosome"), (F.col("bin") * width).alias("bin_start"), end.alias("bin_end"), F.bround("depth", 0).cast("long").alias("n_reads"))
 
 
+def gc_adjusted_table(bins: DataFrame, corrected: str = "corrected") -> DataFrame:
+    """Corrected bins (chrom, st, en, gc) in the layout of an adjusted coverage table: four places, NaN for what is missing."""
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    places = lambda c: F.when(number(c).isNull(), "NaN").otherwise(F.format_string("%.4f", number(c)))
+    return bins.select(F.col("chrom").alias("chromosome"), F.col("st").alias("bin_start"), F.col("en").alias("bin_end"), places(corrected).alias("n_reads"), places("gc").alias("gc_content"))
+
+
+def summary(document: Mapping) -> str:
+    """A result document in a few lines for the terminal."""
+    karyotype, cnv = document.get("karyotype") or {}, document.get("cnv") or {}
+    lines = [f"reads aligned: {(document.get('qc') or {}).get('reads_aligned', 0)}", f"karyotype: {karyotype.get('karyotype_string', 'not called')}"]
+    for name in ("fusions", "itd"):
+        lines.append(f"{name}: {len(document.get(name) or [])}")
+    for f in document.get("fusions") or []:
+        lines.append(f"  {f['g0']['gene'] or '?'} :: {f['g1']['gene'] or '?'} ({f['supporting']} reads)")
+    return "\n".join([*lines, f"deletions and duplications: {len(cnv.get('variants') or [])}"])
+
+
 def guard(path: str, force: bool = False) -> str:
     """Makes the parent folder; refuses an existing file unless forced."""
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
