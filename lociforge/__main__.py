@@ -35,7 +35,7 @@ def contig_numbers(spark: SparkSession, path: str) -> tuple[dict[str, int], Data
 def numbered(df: DataFrame, column: str, numbers: dict[str, int]) -> DataFrame:
     """``df`` with ref_id; rows on other contigs go.  Names with and without ``chr`` are the same."""
     rows = [(k.removeprefix("chr"), v) for k, v in numbers.items()]
-    known = F.broadcast(df.sparkSession.createDataFrame(rows, "_n string, ref_id int"))
+    known = df.sparkSession.createDataFrame(rows, "_n string, ref_id int")
     return df.join(known, F.regexp_replace(column, "^chr", "") == F.col("_n")).drop("_n")
 
 

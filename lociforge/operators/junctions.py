@@ -84,7 +84,7 @@ def junction_consensus(sequences: DataFrame, names: DataFrame, min_reads: int =
         genes = (row.gene0, row.gene1) if (frame.left_gene == 0).mean() >= 0.5 else (row.gene1, row.gene0)
         return pd.DataFrame([(row.event, len(frame), left + between + right, kernels.bracketed(left, right, *genes, between), between)], columns=columns)
 
-    rows = sequences.join(F.broadcast(names.select("event", "gene0", "gene1")), "event")  # called events of a panel
+    rows = sequences.join(names.select("event", "gene0", "gene1"), "event")  # called events of a panel
     return rows.groupBy("event").applyInPandas(run, "event string, n_reads int, consensus string, bracketed string, inserted string")
 
 

@@ -18,6 +18,16 @@ def base_at(bases: Column, offset: Column) -> Column:
     return F.substring(bases, offset % F.nullif(F.length(bases), F.lit(0)) + 1, F.lit(1))
 
 
+def records_at(alignments: DataFrame, places: DataFrame) -> DataFrame:
+    """Mapped records whose span meets or touches an interval of ``places`` (ref_id, st, en): asked of a panel before CIGARs are taken apart.
+
+    A semi-join on the contig, with the panel broadcast while Spark finds it small enough; records are not copied.
+    """
+    panel = places.select(F.col("ref_id").alias("_r"), F.col("st").alias("_st"), F.col("en").alias("_en"))
+    spanned = alignments.where("ref_id >= 0").withColumn("_te", F.col("pos0") + 1 + cigar.span(F.col("cigar")))
+    return spanned.join(panel, (F.col("ref_id") == F.col("_r")) & (F.col("pos0") < F.col("_en")) & (F.col("_te") >= F.col("_st")), "left_semi").drop("_te")
+
+
 def _ops_with_bases(alignments: DataFrame, ops: tuple[str, ...], *keep: str) -> DataFrame:
     """``op_intervals`` with ``bases`` and the offset ``q_start`` of the operation's first one in them.
 
@@ -51,7 +61,7 @@ def sites_in(sites: DataFrame, regions: DataFrame, width: int = TARGET_BIN) -> D
 
 def target_bases(alignments: DataFrame, targets: DataFrame, width: int = TARGET_BIN) -> DataFrame:
     """(read_name, aln_no, nm, bases): paired bases of each primary record in each target, margins left out."""
-    primary = alignments.where((F.col("ref_id") >= 0) & cigar.is_primary(F.col("flag")))
+    primary = records_at(alignments.where(cigar.is_primary(F.col("flag"))), targets)
     ops = cigar.op_intervals(primary, cigar.PAIRED, "read_name", "aln_no", "ref_id")
     hits = overlap_join(ops, targets.select("ref_id", "st", "en", "nm"), "ref_id", "t_start", "t_end", "st", "en", width)
     return hits.select("read_name", "aln_no", "nm", (F.least("t_end", "en") - F.greatest("t_start", "st")).alias("bases"))
@@ -121,7 +131,8 @@ def cds_pileup(alignments: DataFrame, cds: DataFrame, width: int = TARGET_BIN) -
     size = F.col("en") - F.col("st") + 1
     exons = cds.withColumn("offset", F.coalesce(F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("cds_len", F.sum(size).over(Window.partitionBy("gene")))
     exons = exons.select("ref_id", "gene", "st", (F.col("en") + 1).alias("past"), "strand", "offset", "cds_len")
-    ops = _ops_with_bases(alignments, (*cigar.PAIRED, "D"), "ref_id", "read_name", "aln_no")
+    genes = cds.groupBy("ref_id", "gene").agg(F.min("st").alias("st"), F.max("en").alias("en"))
+    ops = _ops_with_bases(records_at(alignments, genes), (*cigar.PAIRED, "D"), "ref_id", "read_name", "aln_no")
     hits = overlap_join(ops, exons, "ref_id", "t_start", "t_end", "st", "past", width)
     place = F.explode(F.sequence(F.greatest("t_start", "st"), F.least("t_end", "past") - 1))
     rows = hits.withColumn("t", place)
@@ -175,7 +186,7 @@ def phase(calls: DataFrame, pileup: DataFrame, ratio: float = 4.0) -> DataFrame:
 
 def insertions(alignments: DataFrame, regions: DataFrame, width: int = TARGET_BIN) -> DataFrame:
     """(nm, pos, length, n): insertions (positive) that start in a region and deletions (negative) that touch it, per place and length."""
-    ops = cigar.op_intervals(alignments.where("ref_id >= 0"), ("I", "D", "N", "P"), "ref_id")
+    ops = cigar.op_intervals(records_at(alignments, regions), ("I", "D", "N", "P"), "ref_id")
     wide = ops.withColumn("reach", F.greatest(F.col("t_end"), F.col("t_start") + 1))
     hits = overlap_join(wide, regions.select("ref_id", "st", F.col("en").alias("e"), (F.col("en") + 1).alias("past"), "nm"), "ref_id", "t_start", "reach", "st", "past", width)
     ok = F.when(F.col("op") == "I", F.col("t_start") < F.col("e")).otherwise(F.lit(True))
@@ -197,12 +208,12 @@ def internal_duplications(alignments: DataFrame, regions: DataFrame, min_length:
     that share of the other reads, and events that outnumber them go.  Events of a region are few: the theta join is per region.
     """
     counts = insertions(alignments, regions)
-    events = counts.where((F.col("length") >= min_length) & (F.col("n") > 1)).join(F.broadcast(regions.select("ref_id", "nm", F.col("en").alias("e"))), "nm")
+    events = counts.where((F.col("length") >= min_length) & (F.col("n") > 1)).join(regions.select("ref_id", "nm", F.col("en").alias("e")), "nm")
     other = counts.select(F.col("nm").alias("_nm"), F.col("pos").alias("_pos"), F.col("length").alias("_len"), F.col("n").alias("_n"))
     near = (F.abs(F.col("pos") - F.col("_pos")) < (F.col("length") * 1.1).cast("int")) & (F.col("_len") * 0.9 < F.col("length")) & (F.col("length") < F.col("_len") * 1.1)
     apart = (F.col("pos") != F.col("_pos")) | (F.col("length") != F.col("_len"))
     absorbed = events.join(other, (F.col("nm") == F.col("_nm")) & near & apart, "left").groupBy("ref_id", "nm", "pos", "length", "n", "e").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("more"))
-    covered = region_coverage(alignments, events.select("ref_id", "nm", "pos", "e").distinct())
+    covered = region_coverage(records_at(alignments, regions), events.select("ref_id", "nm", "pos", "e").distinct())
     out = absorbed.join(covered, ["nm", "pos"], "left").select("nm", "pos", "length", (F.col("n") + F.col("more")).alias("merged"), F.coalesce("coverage", F.lit(0)).alias("coverage"))
     if min_frequency > 0:
         rest = F.col("coverage") - F.col("merged")

@@ -10,6 +10,7 @@ from lociforge.functions import cigar
 from lociforge.functions.stats import upper_median
 from lociforge.operators import kernels
 from lociforge.operators.intervals import bins, overlap_join
+from lociforge.operators.pileup import sites_in
 
 LOCUS = 10_000
 MARGIN, MIN_ANCHOR = 5000, 500
@@ -48,7 +49,7 @@ def ambiguous(splits: DataFrame, targets: DataFrame, margin: int = MARGIN, min_a
     shared = F.expr("least(qe0, qe1) - greatest(qs0, qs1)")
     shorter = F.expr("least(qe0 - qs0, qe1 - qs1)")
     rivals = both.where(~same & (shared > F.floor(shorter / 2)) & (shared > min_anchor) & (shared > 0))
-    wide = F.broadcast(targets.select("ref_id", F.greatest(F.col("st") - margin, F.lit(0)).alias("g_st"), (F.col("en") + margin).alias("g_en")))  # the panel: one row per target
+    wide = targets.select("ref_id", F.greatest(F.col("st") - margin, F.lit(0)).alias("g_st"), (F.col("en") + margin).alias("g_en"))
     one_gene = F.expr("ref_id0 = ref_id1 and ref_id0 = ref_id and ts0 < g_en and te0 > g_st and ts1 < g_en and te1 > g_st")
     return rivals.join(wide, one_gene & (F.col("ref_id0") == F.col("ref_id")), "left_anti").select("read_name", F.col("aln_no0").alias("aln_no")).distinct()
 
@@ -130,7 +131,7 @@ def fusion_events(points: DataFrame, targets: DataFrame, margin: int = MARGIN, m
     for k in (0, 1):
         at = F.col(f"pos{k}")
         inside = F.when(F.col(f"g{k}.gene") == "", F.floor(at / LOCUS) == F.col(f"g{k}.bin")).otherwise((at > F.col("_st")) & (at < F.col("_en")))
-        clustered = clustered.join(F.broadcast(spans), F.col(f"g{k}.gene") == F.col("_nm"), "left").where(inside).drop("_nm", "_st", "_en")
+        clustered = clustered.join(spans, F.col(f"g{k}.gene") == F.col("_nm"), "left").where(inside).drop("_nm", "_st", "_en")
     return clustered
 
 
@@ -145,8 +146,7 @@ def drop_rare_one_sided(events: DataFrame, depths: DataFrame, min_fraction: floa
 
 def near_partners(points: DataFrame, genes: DataFrame, margin: int = MARGIN) -> DataFrame:
     """Points (ref_id, pos) within the widened span of any gene, ends included."""
-    wide = F.broadcast(genes.select(F.col("ref_id").alias("_r"), F.greatest(F.col("st") - margin, F.lit(0)).alias("_st"), (F.col("en") + margin).alias("_en")))  # the panel
-    return points.join(wide, (F.col("ref_id") == F.col("_r")) & F.col("pos").between(F.col("_st"), F.col("_en")), "left_semi")
+    return sites_in(points, genes.select("ref_id", F.greatest(F.col("st") - margin, F.lit(0)).alias("st"), (F.col("en") + margin).alias("en")))
 
 
 def deldup_candidates(splits: DataFrame, min_anchor: int = MIN_ANCHOR, max_overlap: int = 100) -> DataFrame:

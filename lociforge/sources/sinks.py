@@ -19,7 +19,7 @@ def write_tsv(df: DataFrame, path: str, force: bool = False) -> None:
 
 def coverage_table(depth: DataFrame, names: DataFrame, width: int, contig_length: int) -> DataFrame:
     """Binned depth with contig names in the layout of a coverage table; depths are rounded half to even."""
-    out = depth.join(F.broadcast(names), "ref_id")
+    out = depth.join(names, "ref_id")
     end = F.least((F.col("bin") + 1) * width, F.lit(contig_length))
     return out.select(F.col("name").alias("chromosome"), (F.col("bin") * width).alias("bin_start"), end.alias("bin_end"), F.bround("depth", 0).cast("long").alias("n_reads"))
 
