@@ -8,6 +8,7 @@ survive a lost executor, and rereading them costs less than computing them again
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 
@@ -21,7 +22,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError(f"set {_SETTING} to a folder that the driver and all executors share")
     spark.conf.set(_SETTING, root := tempfile.mkdtemp(prefix="lociforge-"))
     return root
