@@ -189,6 +189,19 @@ def deldup_clusters(candidates: DataFrame, min_reads: int = 3, margin: int = 50)
     return _start_runs(candidates, margin).groupBy("ref_id", "kind", "_run").applyInPandas(run, "ref_id int, kind string, start int, end int, reads int")
 
 
+def gene_deldups(splits: DataFrame, genes: DataFrame, min_anchor: int = MIN_ANCHOR, min_reads: int = 3, around: int = 50_000) -> DataFrame:
+    """(nm, ref_id, kind, start, end, reads): deletions and duplications at each gene (ref_id, st, en, nm), from records that meet it widened by ``around``.
+
+    Every gene is clustered for itself, so a read near two of them counts for both.  Other records never reach the self-join.
+    """
+    number = genes.select("nm", F.col("ref_id").alias("_on"), "st", "en").withColumn("_g", F.row_number().over(Window.orderBy("nm", "_on", "st", "en")))  # a panel
+    wide = number.select("_g", F.col("_on").alias("ref_id"), F.greatest(F.col("st") - around, F.lit(0)).alias("g_st"), (F.col("en") + around).alias("g_en"))
+    near = overlap_join(splits.where("parts > 1"), wide, "ref_id", "ts", "te", "g_st", "g_en", 100_000).drop("g_st", "g_en")
+    at_gene = near.withColumn("ref_id", F.col("_g")).drop("_g")  # only records of the same gene make a pair
+    found = deldup_clusters(deldup_candidates(at_gene, min_anchor), min_reads).withColumnRenamed("ref_id", "_g")
+    return found.join(number.select("_g", "nm", "_on"), "_g").select("nm", F.col("_on").alias("ref_id"), "kind", "start", "end", "reads")
+
+
 def copy_ratio(depth: Column, baseline: Column, tumour: Column | None = None) -> Column:
     """Copies from a depth and the diploid one; with a tumour share, scaled to its cells; never negative."""
     plain = depth / baseline * 2

@@ -62,12 +62,6 @@ def read_results(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
     return found.withColumn("sample", F.regexp_extract(F.input_file_name(), r"([^/.]+)[^/]*$", 1))
 
 
-#: The parts of a run's own result document that cohorts use.
-DOCUMENT = """qc struct<reads_aligned:long>, karyotype struct<karyotype_string:string, iscn_string:string, blast_ratio:double>, cnv struct<focal:map<string,double>>,
-    itd array<struct<nm:string, pos:int, length:int, merged:long, coverage:long>>,
-    fusions array<struct<g0:struct<ref_id:int, bin:int, gene:string>, g1:struct<ref_id:int, bin:int, gene:string>, supporting:long, pos0:int, pos1:int, n_reads:int>>"""
-
-
 def read_config(text: str, key: str | None = None) -> dict:
     """A JSON configuration; with a key, that part of it if it is there, else the whole."""
     got = json.loads(text)

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 _PAIR = "struct<gene0_name:string,gene0_chr:string,gene0_pos:bigint,gene0_dir:string,gene1_name:string,gene1_chr:string,gene1_pos:bigint,gene1_dir:string,n_reads:bigint,overlap_gap:bigint>"
 _GENE = "struct<name:string,chr:string,pos:bigint>"
+_FUSION = f"array<struct<gene1:{_GENE},gene2:{_GENE},supporting_reads:bigint,repetitive_reads:bigint,breakpoints:array<{_PAIR}>>>"
 _SPAN = "array<struct<chrom:string,start:bigint,end:bigint,reads:bigint>>"
 
 #: The sections of one sample's result, as a DDL schema that readers of many results can use; fixed values of the document's format.
 RESULT = f"""version string not null, timestamp string not null,
 metadata struct<run_start_time:string,run_id:string,basecall_model:string,library_id:string,sequencer_id:string,flow_cell_id:string>,
-qc struct<nt_on_target:bigint,reads_on_target:bigint,target_regions_nt:bigint,reads_aligned:bigint,mean_coverage:double,target_coverage:map<string,double>>,
-fusions array<struct<gene1:{_GENE},gene2:{_GENE},supporting_reads:bigint,repetitive_reads:bigint,breakpoints:array<{_PAIR}>>>,
-karyotype struct<karyotype:map<string,int>,medians:map<string,double>,karyotype_string:string,iscn_string:string,blast_ratio:double,reads_aligned:bigint,within_segment_spread:double,warnings:array<string>>,
-cnv map<string,struct<focal:double,local:double,deletions:{_SPAN},duplications:{_SPAN}>>,
-snv map<string,struct<genotype:string,coverage:double,mutations:map<string,double>,aa_changes:array<string>,phase:map<string,string>,unassigned_muts:array<string>>>,
-itd map<string,array<struct<position:bigint,length:bigint,merged:bigint,coverage:bigint>>>,
-breakpoint_consensus array<struct<gene0_name:string,gene0_chr:string,gene0_pos:bigint,gene1_name:string,gene1_chr:string,gene1_pos:bigint,consensus_sequence:string,bracketed_sequence:string,inserted_bases:string,n_reads:bigint,mean_coverage:double>>"""
+qc struct<nt_on_target:double,reads_on_target:double,target_regions_nt:double,reads_aligned:bigint,mean_coverage:double,target_coverage:map<string,double>>,
+fusions struct<fusions:{_FUSION},spike_in:{_FUSION}>,
+karyotype struct<karyotype:map<string,int>,medians:map<string,double>,levels_found:array<array<double>>,karyotype_string:string,iscn_string:string,blast_ratio:double,reads_aligned:bigint,within_segment_spread:double,warnings:string,maf_peaks:map<string,double>>,
+cnv struct<genes:map<string,struct<focal:double,local:double,deletions:{_SPAN},duplications:{_SPAN}>>>,
+snv struct<genes:map<string,struct<genotype:string,coverage:double,mutations:map<string,string>,aa_changes:array<string>,phase:map<string,string>,unassigned_muts:array<string>>>>,
+itd struct<genes:map<string,array<struct<position:bigint,length:bigint,merged:bigint,coverage:bigint>>>>,
+breakpoint_consensus struct<breakpoints:array<struct<gene0_name:string,gene0_chr:string,gene0_pos:bigint,gene1_name:string,gene1_chr:string,gene1_pos:bigint,consensus_sequence:string,bracketed_sequence:string,inserted_bases:string,n_reads:bigint,mean_coverage:double>>>"""
 
 _PLAIN = {T.StringType: "string", T.BooleanType: "boolean", T.LongType: "integer", T.IntegerType: "integer", T.DoubleType: "number", T.FloatType: "number"}
 
@@ -40,7 +42,8 @@ def _or_null(schema: dict) -> dict:
 
 
 def result_schema() -> dict:
-    """The JSON Schema of a result document."""
+    """The JSON Schema of a result document; Spark parses the DDL, so a session is started if there is none."""
+    SparkSession.builder.getOrCreate()
     return json_schema(T.StructType.fromDDL(RESULT), title="result")
 
 

@@ -9,8 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SECTIONS = ("version", "timestamp", "metadata", "qc", "fusions", "karyotype", "cnv", "snv", "itd", "breakpoint_consensus")
-
+from lociforge.sources import schema
 
 def write_tsv(df: DataFrame, path: str, force: bool = False) -> None:
     """A table as tab-separated part files with header; null is written NA."""
@@ -33,13 +32,13 @@ def gc_adjusted_table(bins: DataFrame, corrected: str = "corrected") -> DataFram
 
 def summary(document: Mapping) -> str:
     """A result document in a few lines for the terminal."""
-    karyotype, cnv = document.get("karyotype") or {}, document.get("cnv") or {}
-    lines = [f"reads aligned: {(document.get('qc') or {}).get('reads_aligned', 0)}", f"karyotype: {karyotype.get('karyotype_string', 'not called')}"]
-    for name in ("fusions", "itd"):
-        lines.append(f"{name}: {len(document.get(name) or [])}")
-    for f in document.get("fusions") or []:
-        lines.append(f"  {f['g0']['gene'] or '?'} :: {f['g1']['gene'] or '?'} ({f['supporting']} reads)")
-    return "\n".join([*lines, f"deletions and duplications: {len(cnv.get('variants') or [])}"])
+    part = lambda name, key: (document.get(name) or {}).get(key)
+    fusions, genes = part("fusions", "fusions") or [], part("cnv", "genes") or {}
+    lines = [f"reads aligned: {part('qc', 'reads_aligned') or 0}", f"karyotype: {part('karyotype', 'karyotype_string') or 'not called'}", f"fusions: {len(fusions)}"]
+    lines += [f"  {f['gene1']['name'] or '?'} :: {f['gene2']['name'] or '?'} ({f['supporting_reads']} reads)" for f in fusions]
+    lines += [f"insertions: {sum(map(len, (part('itd', 'genes') or {}).values()))}"]
+    lines += [f"genotype {gene}: {one['genotype']}" for gene, one in sorted((part("snv", "genes") or {}).items()) if one["genotype"]]
+    return "\n".join([*lines, f"deletions and duplications: {sum(len(g.get(k) or []) for g in genes.values() for k in ('deletions', 'duplications'))}"])
 
 
 def guard(path: str, force: bool = False) -> str:
@@ -51,8 +50,8 @@ def guard(path: str, force: bool = False) -> str:
 
 
 def validate(document: Mapping) -> list[str]:
-    """What is wrong with a result document: unknown sections, a missing version or timestamp."""
-    return [f"unknown section {k}" for k in document if k not in SECTIONS] + [f"missing {k}" for k in ("version", "timestamp") if k not in document]
+    """Where a result document breaks its schema."""
+    return schema.violations(document, schema.result_schema())
 
 
 def write_result(document: Mapping, path: str, force: bool = False) -> None:
@@ -67,46 +66,3 @@ def write_fasta(records: Sequence[tuple[str, str]], path: str, force: bool = Fal
     with open(guard(path, force), "w") as f:
         for name, seq in records:
             f.write(f">{name}\n" + "".join(seq[i : i + width] + "\n" for i in range(0, len(seq), width)))
-
-
-def markdown_report(document: Mapping) -> str:
-    """Sections of one sample's result as Markdown tables; lists of records and flat mappings are laid out alike."""
-    out = [f"# Variant report {document.get('timestamp', '')}".rstrip()]
-    for name in SECTIONS[2:]:
-        part = document.get(name)
-        if not part:
-            continue
-        out += ["", f"## {name.replace('_', ' ').capitalize()}", ""]
-        rows = part if isinstance(part, list) else [{"name": k, "value": v} for k, v in part.items()]
-        if not rows:
-            out.append("None found")
-            continue
-        head = list(rows[0])
-        out += ["| " + " | ".join(head) + " |", "|" + "---|" * len(head)]
-        out += ["| " + " | ".join(str(r.get(k, "")).replace("|", "\\|") for k in head) + " |" for r in rows]
-    return "\n".join(out) + "\n"
-
-
-def html_report(markdown: str) -> str:
-    """The Markdown of ``markdown_report`` as a page: headings, tables and paragraphs, with text escaped."""
-    from html import escape
-
-    out, table = [], False
-    for line in markdown.splitlines():
-        if line.startswith("|---"):
-            continue
-        if line.startswith("| "):
-            cells = [escape(c.strip().replace("\\|", "|")) for c in line.strip("|").replace("\\|", "\0").split("|")]
-            cell = "td" if table else "th"
-            out += ([] if table else ["<table>"]) + ["<tr>" + "".join(f"<{cell}>{c.replace(chr(0), '|')}</{cell}>" for c in cells) + "</tr>"]
-            table = True
-            continue
-        if table:
-            out.append("</table>")
-            table = False
-        level = len(line) - len(line.lstrip("#"))
-        if level:
-            out.append(f"<h{level}>{escape(line[level:].strip())}</h{level}>")
-        elif line:
-            out.append(f"<p>{escape(line)}</p>")
-    return "<!DOCTYPE html><html><body>" + "\n".join([*out, "</table>" * table]) + "</body></html>"

@@ -83,7 +83,7 @@ def test_partner_bounds(spark):
         ({"bogus": True}, 3),
         ({"version": "1", "timestamp": "t", "karyotype": {"karyotype": {"1p": 2}, "blast_ratio": None}}, 0),
         ({"version": "1", "timestamp": "t", "karyotype": {"karyotype": {"1p": "2"}}}, 1),
-        ({"version": "1", "timestamp": "t", "itd": {"A": [{"position": 1, "size": 2}]}}, 1),
+        ({"version": "1", "timestamp": "t", "itd": {"genes": {"A": [{"position": 1, "size": 2}]}}}, 1),
     ],
 )
 def test_result_schema(document, wrong):

@@ -73,19 +73,6 @@ def test_small_variants_from_files(spark, tmp_path):
     assert {r[:2] for r in _table(spark, tmp_path / "v" / "genotypes")} == {("F", "*2/*2"), ("R", "*1/*1")}
 
 
-def test_cohort_command(spark, tmp_path):
-    side = lambda gene, place: {"ref_id": 0, "bin": place, "gene": gene}
-    event = {"g0": side("A", 1), "g1": side("B", 2), "supporting": 5, "pos0": 17, "pos1": 90, "dir0": "left", "dir1": "right", "n_reads": 4}
-    weak = event | {"g1": side("", 9), "supporting": 2}
-    one = {"version": "1", "timestamp": "t", "fusions": [event, event | {"pos0": 99, "n_reads": 1}, weak], "karyotype": {"karyotype_string": "47,XX,+8", "iscn_string": "seq", "blast_ratio": 0.5}, "cnv": {"focal": {"A": 1.234}}, "itd": [{"nm": "F", "pos": 7, "length": 21, "merged": 3, "coverage": 9}]}
-    (tmp_path / "s1.json").write_text(json.dumps(one))
-    (tmp_path / "s2.json").write_text(json.dumps({"version": "1", "timestamp": "t"}))
-    cli.main(["cohort", "--results", str(tmp_path / "*.json"), "--out", str(tmp_path / "c"), "--genes", "A,Z"])
-    none = "MISSING"
-    assert sorted(_table(spark, tmp_path / "c")) == [("s1", "A (17) :: B (5 reads)", none, "47,XX,+8", "seq", "0.50", "F:7 21 nt (3 reads)", "1.23", none), ("s2", *[none] * 8)]
-    assert "A :: B (5 reads)" in sinks.summary(one) and "not called" in sinks.summary({})
-
-
 def test_adjusted_coverage_layout(spark):
     bins = spark.createDataFrame([("chr1", 0, 10, 1.23456, 0.4), ("chr1", 10, 20, 2.0, None), ("chr1", 20, 30, 2.0, float("nan"))], "chrom string, st int, en int, corrected double, gc double")
     assert [tuple(r) for r in sinks.gc_adjusted_table(bins).collect()] == [("chr1", 0, 10, "1.2346", "0.4000"), ("chr1", 10, 20, "2.0000", "NaN"), ("chr1", 20, 30, "2.0000", "NaN")]

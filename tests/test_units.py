@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lociforge.functions import cigar, dna
 from lociforge.operators import annotation, intervals, karyotype, kernels
-from lociforge.sources import bam, readers, sinks
+from lociforge.sources import bam, readers, report, sinks
 
 
 def one(spark, column):
@@ -117,13 +117,13 @@ def test_bam_source(spark, tmp_path):
 
 
 def test_result_document(tmp_path):
-    doc = {"version": "1", "timestamp": "2024-01-01T00:00:00Z", "qc": {"nt_on_target": 5}, "fusions": [{"gene1": "A|B", "reads": 3}]}
+    doc = {"version": "1", "timestamp": "2024-01-01T00:00:00Z", "qc": {"nt_on_target": 5.0}}
     sinks.write_result(doc, str(tmp_path / "x" / "r.json"))
     with pytest.raises(FileExistsError):
         sinks.write_result(doc, str(tmp_path / "x" / "r.json"))
     assert sinks.validate({"bogus": True}) and not sinks.validate(doc)
-    md = sinks.markdown_report(doc)
-    assert "## Fusions" in md and "<td>A|B</td>" in sinks.html_report(md)
+    with pytest.raises(ValueError, match="fusions"):
+        sinks.write_result(doc | {"fusions": [1]}, str(tmp_path / "y.json"))
 
 
 def test_streaming_counts(spark, tmp_path):
@@ -155,4 +155,5 @@ def test_result_document_runs(spark):
     inputs = pipeline.Inputs(alignments(spark, SF), load(spark, SF, "targets"), load(spark, SF, "repeats"), load(spark, SF, "sites"), CONTIG_LENGTH)
     doc = pipeline.result_document(spark, inputs, pipeline.Thresholds(bin_width=BIN, site_depth=1, fusion_reads=1))
     assert not sinks.validate(doc) and doc["qc"]["reads_aligned"] > 0 and doc["karyotype"]["karyotype"]
-    assert "## Karyotype" in sinks.markdown_report(doc)
+    assert doc["qc"]["target_coverage"] and all("deletions" in g for g in doc["cnv"]["genes"].values())
+    assert "Digital karyotype: **" in report.markdown(doc)
