@@ -109,6 +109,7 @@ def with_panel(spark: SparkSession, args: argparse.Namespace, plain: pipeline.In
     if found.insertions:
         rows = [(gene, one["chrom"], int(one["start"]), int(one["end"]), i) for i, (gene, one) in enumerate(sorted(found.insertions.items()))]
         more["regions"] = numbered(spark.createDataFrame(rows, "nm string, chrom string, st int, en int, ord int"), "chrom", numbers).select("ref_id", "st", "en", "nm", "ord")
+        more["insertion_limits"] = {gene: (one.min_length, one.min_frequency) for gene, one in config.read_insertions(json.dumps(got)).items()}
     if args.gff:
         gff = readers.read_gff(spark, args.gff)
         bounds = config.gene_bounds(gff, sorted(found.rules.listed_partners()))

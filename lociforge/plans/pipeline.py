@@ -36,6 +36,7 @@ class Inputs:
 
     Small variants need ``cds`` (gene, ref_id, st, en, strand) and ``reference`` (ref_id, chunk_no, seq); ``stars`` are positions by allele by gene.
     ``rules`` are a panel's for fusions; ``partners`` (gene, seqid, st, en) bounds the partners that they list, ``seqid`` being a contig's chromosome name.
+    ``insertion_limits`` are least lengths and frequencies by region's name; other regions take the thresholds.
     ``deldup_genes`` and ``excluded`` limit where deletions are looked for and which genes make the focal baseline.
     """
 
@@ -54,6 +55,7 @@ class Inputs:
     deldup_genes: Sequence[str] | None = None
     excluded: tuple[str, ...] = ()
     metadata: Mapping[str, str | None] | None = None
+    insertion_limits: Mapping[str, tuple[int, float]] = field(default_factory=dict)
 
 
 def analyses(inputs: Inputs, t: Thresholds = Thresholds()) -> dict[str, DataFrame]:
@@ -70,10 +72,21 @@ def analyses(inputs: Inputs, t: Thresholds = Thresholds()) -> dict[str, DataFram
         "fusions": fusion_calls(inputs, t),
         "deldups": structural.deldup_clusters(structural.deldup_candidates(splits, t.min_anchor), t.deldup_reads),
         "gene_deldups": structural.gene_deldups(splits, looked, t.min_anchor, t.deldup_reads),
-        "itd": pileup.internal_duplications(reads, inputs.regions if inputs.regions is not None else inputs.targets, t.itd_length, t.itd_frequency),
+        "itd": insertion_calls(inputs, t),
     }
 
 
+def insertion_calls(inputs: Inputs, t: Thresholds = Thresholds()) -> DataFrame:
+    """Insertions in the regions, a pass for each pair of limits that a panel names (a few)."""
+    regions = inputs.regions if inputs.regions is not None else inputs.targets
+    own = F.col("nm").isin(list(inputs.insertion_limits))
+    out = pileup.internal_duplications(inputs.alignments, regions.where(~own), t.itd_length, t.itd_frequency)
+    for limits in sorted(set(inputs.insertion_limits.values())):
+        names = [g for g, mine in inputs.insertion_limits.items() if mine == limits]
+        out = out.unionByName(pileup.internal_duplications(inputs.alignments, regions.where(F.col("nm").isin(names)), *limits))
+    return out
+
+
 def fusion_calls(inputs: Inputs, t: Thresholds = Thresholds()) -> DataFrame:
     """Fusion events at the targets, by the panel's rules where there are some: margins by gene, one-sided genes, their listed partners and least share of depth.
 

@@ -7,7 +7,7 @@ import pytest
 
 from lociforge import __main__ as cli
 from lociforge.operators import structural
-from lociforge.plans import document
+from lociforge.plans import document, pipeline
 from lociforge.sources import report, sinks
 
 SIDE = lambda ref, place, gene: {"ref_id": ref, "bin": place, "gene": gene}
@@ -147,3 +147,14 @@ def test_pipeline_with_a_panel(spark, tmp_path):
 @pytest.mark.parametrize("value, want", [(2.5, "3x (2.5x)"), (0.4, "0x (0.4x)"), (1.49, "1x (1.5x)")])
 def test_copies_are_rounded_to_whole_ones(value, want):
     assert want in report._copies("x", value)
+
+
+def test_regions_have_their_own_limits(spark):
+    rows = [(f"r{i}", 1, 0, 0, 0, [("M", 30), ("I", 3 if i < 6 else 8), ("M", 30)], None) for i in range(12)] + [(f"s{i}", 1, 0, 200, 0, [("M", 30), ("I", 3), ("M", 30)], None) for i in range(6)]
+    reads = spark.createDataFrame(rows, "read_name string, aln_no int, ref_id int, pos0 int, flag int, cigar array<struct<op:string,len:int>>, seq string")
+    regions = spark.createDataFrame([(0, 0, 100, "A", 1), (0, 200, 300, "B", 2)], "ref_id int, st int, en int, nm string, ord int")
+    given = lambda **limits: pipeline.Inputs(reads, regions, regions, regions, 1000, regions, insertion_limits=limits)
+    lengths = lambda inputs: sorted((r.nm, r.length) for r in pipeline.insertion_calls(inputs).collect())
+    assert lengths(given()) == [("A", 8)]
+    assert lengths(given(A=(3, 0.0))) == [("A", 3), ("A", 8)]
+    assert lengths(given(A=(9, 0.0), B=(3, 0.0))) == [("B", 3)]
