@@ -370,6 +370,52 @@ def test_near_passages_are_found(spark):
     assert len(slices) >= 98
 
 
+def test_no_link_between_passages_is_lost(spark):
+    """Slices of one hub, near pairs without a long common run, and a line that many texts have: whoever is similar is in one component."""
+    rng = random.Random(77)
+    numbers = itertools.count()
+    fresh = lambda n: [f"w{next(numbers)}" for _ in range(n)]
+    texts, links, apart = [], [], []
+    put = lambda *parts: texts.append(" ".join(itertools.chain(*parts))) or len(texts) - 1
+    hub = fresh(900)
+    slices = [(at := rng.randint(0, 820), at + rng.randint(52, 80)) for _ in range(160)]
+    ids = [put(fresh(rng.randint(0, 20)), hub[a:b], fresh(20)) for a, b in slices]
+    links += [(i, j) for (i, (a, b)), (j, (c, d)) in itertools.combinations(zip(ids, slices, strict=True), 2) if min(b, d) - max(a, c) >= 50]
+    line = fresh(24)
+    lone = [put(fresh(60), line, fresh(60)) for _ in range(90)]
+    apart += list(itertools.pairwise(lone))
+    for k in range(240):
+        kind = ("replace", "insert", "double", "move")[k % 4]
+        passage = fresh(18) + (line if k % 3 == 0 else fresh(24)) + fresh(18 if kind != "move" else 38)
+        at = 40 if kind == "move" else rng.choice([18, 21, 42])
+        edited = passage[at:] + passage[:at] if kind == "move" else passage[:at] + (passage[at - 2 : at] if kind == "double" else fresh(1)) + passage[at + (kind == "replace") :]
+        x, y = shingle_set(" ".join(passage)), shingle_set(" ".join(edited))
+        if len(x & y) >= 0.75 * len(x | y) and min(len(passage), len(edited)) >= 50:
+            links.append((put(fresh(30), passage, fresh(30)), put(fresh(25), edited, fresh(35))))
+    for _ in range(6):  # families of edited passages, each edit at another place
+        source = fresh(140)
+        family = []
+        for _ in range(14):
+            edited = list(source)
+            edited[(at := rng.randint(30, 110)) : at + 1] = fresh(1)
+            family.append(put(fresh(25), edited, fresh(25)))
+        links += list(itertools.combinations(family, 2))
+    rows = substring_dedup.repeated_passages(make(spark, texts)).collect()
+    up = list(range(len(texts)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for r in rows:
+        up[max(root(r.doc_id), root(r.other_id))] = min(root(r.doc_id), root(r.other_id))
+    lost = [p for p in links if root(p[0]) != root(p[1])]
+    assert not lost, (len(lost), len(links))
+    assert all(r.component_id == root(r.doc_id) for r in rows)
+    assert not any(root(a) == root(b) for a, b in apart) and len(rows) < 12 * len(texts)
+
+
 # ---- the pipeline
 
 
