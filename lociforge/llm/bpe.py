@@ -16,9 +16,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lociforge.llm.worker import tidy_call
+
 #: Bytes of a piece that are merged directly, and tokens that are decoded directly; all above goes through the tree.
 LEAF = 16
 #: Bytes of the pieces whose ids are kept.
@@ -27,12 +30,16 @@ SHORT = 48
 MAX_FILE = 16 << 20
 #: Pieces whose ids a Python worker keeps, twice: when a generation is full, the one before it goes.
 CACHE = 200_000
+#: The same where a worker has other stages' memory beside it.
+SMALL_CACHE = 50_000
+#: Texts of a batch that are Python strings at once.
+SLICE = 256
 
 
 class ByteBPE:
     """A vocabulary: ``ranks`` of byte strings, the lower the earlier merged; ``pattern`` splits texts into pieces."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache: int = CACHE):
         import regex
 
         self.ranks = ranks
@@ -47,6 +54,7 @@ class ByteBPE:
                 left, right = ranks.get(b[:k]), ranks.get(b[k:])
                 if left is not None and right is not None:
                     self.pairs[left << 32 | right] = i
+        self.cache = cache
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -98,7 +106,7 @@ class ByteBPE:
         ids = self.older.get(piece)
         if ids is None:
             ids = array("I", self.encode_piece(piece.encode())).tobytes()
-        if len(self.kept) >= CACHE:
+        if len(self.kept) >= self.cache:
             self.older, self.kept = self.kept, {}
         if len(piece) <= SHORT:
             self.kept[piece] = ids
@@ -119,8 +127,8 @@ class ByteBPE:
 
 
 @lru_cache(maxsize=2)
-def _parsed(content: bytes, pattern: str) -> ByteBPE:
-    return ByteBPE({base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a}, pattern)
+def _parsed(content: bytes, pattern: str, cache: int) -> ByteBPE:
+    return ByteBPE({base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a}, pattern, cache)
 
 
 class Tokenizer:
@@ -132,8 +140,8 @@ class Tokenizer:
         if len(self.content) > MAX_FILE:
             raise ValueError(f"{path} has more than {MAX_FILE} bytes")
 
-    def local(self) -> ByteBPE:
-        return _parsed(self.content, self.pattern)
+    def local(self, cache: int = CACHE) -> ByteBPE:
+        return _parsed(self.content, self.pattern, cache)
 
 
 def _strings(column: pa.Array) -> list[str]:
@@ -181,12 +189,17 @@ def encode_documents(docs: DataFrame, tokenizer: Tokenizer, text: str = "text")
     """
 
     def run(column: pa.Array) -> pa.Array:
-        bpe = tokenizer.local()
-        texts = _strings(column)
-        ids = [bpe.encode(x) for x in texts]
-        same = [bpe.decode(i) == x.encode() for i, x in zip(ids, texts, strict=True)]
-        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(same, pa.bool_())], ["ids", "n_tokens", "lossless"])
+        bpe, parts = tokenizer.local(SMALL_CACHE), [pa.array([], pa.binary())]
+        same: list[bool] = []
+        for at in range(0, len(column), SLICE):
+            texts = _strings(column.slice(at, SLICE))
+            ids = [bpe.encode(x) for x in texts]
+            same += [bpe.decode(i) == x.encode() for i, x in zip(ids, texts, strict=True)]
+            parts.append(pa.array(ids, pa.binary()))
+        ids = pa.concat_arrays(parts)
+        n = pc.divide(pc.binary_length(ids).cast(pa.int64()), 4)
+        return pa.StructArray.from_arrays([ids, n, pa.array(same, pa.bool_())], ["ids", "n_tokens", "lossless"])
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("ids", "n_tokens", "lossless")]
-    coded = F.arrow_udf(run, "struct<ids: binary, n_tokens: bigint, lossless: boolean>")(F.col(text))
+    coded = F.arrow_udf(tidy_call(run), "struct<ids: binary, n_tokens: bigint, lossless: boolean>")(F.col(text))
     return docs.select(*kept, coded.alias("_coded")).select(*kept, "_coded.*")

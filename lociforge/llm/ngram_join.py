@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from lociforge.llm import textkit
 from lociforge.llm.components import connected_components
-from lociforge.llm.storage import materialize, release
+from lociforge.llm.storage import materialize
+from lociforge.llm.worker import tidy_batches, tidy_group
 
 #: Percent of the union that linked sets share.
 PERCENT = 75
@@ -70,7 +71,7 @@ def shingle_sets(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Da
                 sig.append(_signature(found) if len(found) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64())], ["doc_id", "n_shingles", "sig"])
 
-    return _id_and_text(docs, doc, text).mapInArrow(run, SET_SCHEMA)
+    return _id_and_text(docs, doc, text).mapInArrow(tidy_batches(run), SET_SCHEMA)
 
 
 def _pack(values: list[np.ndarray]) -> list[bytes]:
@@ -88,12 +89,13 @@ def _dealt(docs: DataFrame, ranges: int, doc: str, text: str) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             token = np.concatenate(held)
+            held.clear()
             sig = np.array([o[0] for o in owners], np.int64)
             n = np.array([o[1] for o in owners], np.int32)
-            owner = np.repeat(np.arange(len(owners)), n)
-            at = (token >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+            at = ((token >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
             order = np.argsort(at, kind="stable")
-            token, owner, at = token[order], owner[order], at[order]
+            token, owner, at = token[order], np.repeat(np.arange(len(owners), dtype=np.int32), n)[order], at[order]
+            del order
             cut = np.flatnonzero(np.diff(at)) + 1
             rows = []
             for t, o, a in zip(np.split(token, cut), np.split(owner, cut), at[np.r_[0, cut]], strict=True):
@@ -117,7 +119,7 @@ def _dealt(docs: DataFrame, ranges: int, doc: str, text: str) -> DataFrame:
         if held:
             yield flush()
 
-    return _id_and_text(docs, doc, text).mapInArrow(run, "part int, low binary, high binary, sig binary, n binary, count binary")
+    return _id_and_text(docs, doc, text).mapInArrow(tidy_batches(run), "part int, low binary, high binary, sig binary, n binary, count binary")
 
 
 def _unpacked(table: pa.Table, name: str, kind) -> np.ndarray:
@@ -149,7 +151,7 @@ def _shared(dealt: DataFrame, parts: int) -> DataFrame:
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
         return pa.Table.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], ["part", "token", "sig", "n", "df"])
 
-    return dealt.groupBy("part").applyInArrow(run, "part int, token binary, sig binary, n binary, df binary")
+    return dealt.groupBy("part").applyInArrow(tidy_group(run), "part int, token binary, sig binary, n binary, df binary")
 
 
 def _survivors(shared: DataFrame) -> DataFrame:
@@ -173,7 +175,7 @@ def _survivors(shared: DataFrame) -> DataFrame:
                 out[3].append(np.sort(token[a:b]).tobytes())
         return pa.Table.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.list_(pa.int64())), pa.array(out[3], pa.binary())], ["sig", "n", "rare", "shared"])
 
-    return shared.groupBy("part").applyInArrow(run, "sig long, n int, rare array<long>, shared binary")
+    return shared.groupBy("part").applyInArrow(tidy_group(run), "sig long, n int, rare array<long>, shared binary")
 
 
 class _Block:
@@ -271,7 +273,7 @@ def _block_links(rows: DataFrame) -> DataFrame:
             links += _Block(sig[i], n[i], sets, half).join()
         return pa.Table.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], ["src", "dst"])
 
-    return rows.groupBy("task").applyInArrow(run, "src long, dst long")
+    return rows.groupBy("task").applyInArrow(tidy_group(run), "src long, dst long")
 
 
 def set_links(docs: DataFrame, total: int, doc: str = "doc_id", text: str = "text") -> DataFrame:

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lociforge.llm.worker import tidy_call
+
 _NAMES = "password|passwd|passphrase|passcode|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|secret[_-]?key|auth[_-]?key|credentials?|auth"
 _PREFIXES = r"glpat-|gh[pousr]_|github_pat_|xox[abeprs]-|[sr]k_(?:live|test)_|AIza|npm_|pypi-|SG\.|hf_|dop_v1_|AKIA|ASIA"
 #: What may be a secret: a whole key block, a password in a url, a value after a telling name (alone or as part of a name), what
@@ -351,4 +353,4 @@ def redact_secrets(docs: DataFrame, forest: Forest, threshold: float = 0.5, mask
         return pa.array(out, pa.string())
 
     where = F.col(path).cast("string") if path else F.lit("")
-    return docs.withColumn(text, F.arrow_udf(run, "string")(F.col(text), where))
+    return docs.withColumn(text, F.arrow_udf(tidy_call(run), "string")(F.col(text), where))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lociforge.llm import textkit
 from lociforge.llm.storage import materialize, release
+from lociforge.llm.worker import tidy_call
 
 #: Group names whose swapping must not move a score, in the languages of the corpus; a parameter of ``fit_toxicity``.
 IDENTITY_TERMS = (
@@ -165,7 +166,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, doc:
     if n > max_rows:
         known = known.where(F.pmod(F.xxhash64("_id", F.lit(17)), F.lit(1 << 30)) < int(max_rows / n * (1 << 30)))
     rows = docs.select(F.col(doc).alias("_id"), F.col(text).alias("_t")).join(F.broadcast(known), "_id")  # of max_rows rows of 12 bytes
-    rows = materialize(rows.select(F.arrow_udf(_feature_lists, "array<long>")("_t").alias("_f"), "_y"), "toxicity-rows")
+    rows = materialize(rows.select(F.arrow_udf(tidy_call(_feature_lists), "array<long>")("_t").alias("_f"), "_y"), "toxicity-rows")
     size, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("_y"), F.lit(0))).first()
     if (model := _constant(np.repeat([1.0, 0.0], [toxic, size - toxic]))) is not None:
         release(rows)
@@ -191,4 +192,4 @@ def toxicity_score(model: ToxicityModel, text: Column) -> Column:
     def score(column: pa.Array) -> pa.Array:
         return pa.array(model.score(column), pa.float64())
 
-    return F.arrow_udf(score, "double")(text)
+    return F.arrow_udf(tidy_call(score), "double")(text)

@@ -6,6 +6,7 @@ import random
 import re
 import time
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -431,3 +432,24 @@ def test_pipeline_stages_on_odd_rows(spark, tmp_path):
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
     rows = {r.doc_id: r for r in corpus_pipeline.STAGES[-1][1](spark, kept, str(tmp_path)).collect()}
     assert sorted(rows) == [0, 1, 2, 4] and rows[1].text is None and "p@ss" not in rows[4].text and rows[4]._was == "x"
+
+
+def test_workers_give_memory_back(spark):
+    """After shingles were dealt out, the reused workers hold little more than before."""
+    rng = random.Random(8)
+    words = [sentence(rng, 1) for _ in range(5000)]
+    docs = make(spark, [" ".join(rng.choices(words, k=600)) for _ in range(4000)]).coalesce(1).localCheckpoint()
+
+    def held(batches):
+        for _ in batches:
+            pass
+        anonymous = sum(map(int, re.findall(r"\nPss_(?:Anon|Shmem):\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())))
+        yield pa.RecordBatch.from_arrays([pa.array([anonymous // 1024], pa.int64())], ["mb"])
+
+    def most():
+        return max(r.mb for r in spark.range(0, 8, 1, 4).mapInArrow(held, "mb long").collect())
+
+    ngram_join.shingle_sets(docs.limit(1)).count()  # imports and tables of powers
+    before = most()
+    ngram_join._dealt(docs, 64, "doc_id", "text").foreach(lambda _: None)
+    assert most() < before + 40
