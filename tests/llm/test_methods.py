@@ -343,6 +343,22 @@ def test_passages_of_one_repeated_word_stay_small():
     assert substring_dedup.verified(x, y, np.arange(0, 9000, 32), np.arange(40, 9040, 32))
 
 
+def test_short_stretches_grow_their_sets(monkeypatch):
+    """Texts of few words match almost everywhere: stretches are those of sets made anew, without making them anew."""
+    rng = np.random.default_rng(4)
+    x, y = (rng.integers(k, 12 + k, 300).astype(np.uint64) for k in range(2))
+    calls = []
+    alike = substring_dedup.similarity
+    monkeypatch.setattr(substring_dedup, "similarity", lambda a, b: calls.append(1) or alike(a, b))
+    pair = substring_dedup._Pair(substring_dedup._Text(x), substring_dedup._Text(y), 46)
+    s, t, size = pair.runs(-64, 64)
+    ends = pair.worth_a[s] + pair.worth_b[t], pair.worth_a[s + size] + pair.worth_b[t + size]
+    got = list(pair._short(s, t, size, *ends, 0, len(s) - 1))
+    assert got and not calls
+    for a, b, c, d, value in got:
+        assert value == alike(x[a:b], y[c:d]) >= 0.75 and min(b - a, d - c) >= 46
+
+
 def test_near_passages_are_found(spark):
     """Planted near pairs, and a hub whose slices share different parts of it; what is below the similarity has no row."""
     rng = random.Random(21)
