@@ -366,11 +366,13 @@ def test_a_line_that_many_texts_share_is_no_pair_of_each_two(monkeypatch):
     near = rng.integers(0, 1 << 16, (n, width)).astype(np.uint16)
     for k in range(2000, n):  # a line of its own again and again, as far as the shared one leaves room
         near[k] = np.resize(rng.integers(0, 1 << 16, rng.integers(8, 40)).astype(np.uint16), width)
-    near[:, middle - 5 : middle + 5] = np.arange(1, 11)
     planted = [(k, k + 1) for k in range(0, 80, 2)]
+    for a, b in planted:  # nothing in common by chance
+        near[[a, b]] = 11 + rng.permutation((1 << 16) - 11)[: 2 * width].reshape(2, width)
+    near[:, middle - 5 : middle + 5] = np.arange(1, 11)
     for a, b in planted:
         near[b, 100:160] = near[a, 100:160]
-        near[b, 116:121] = rng.integers(11, 1 << 16, 5)  # one word replaced
+        near[b, 116:121] = near[b, :5]  # one word replaced
     looked = []
     most = substring_dedup._most
     monkeypatch.setattr(substring_dedup, "_most", lambda value, least: looked.append(len(value)) or most(value, least))
