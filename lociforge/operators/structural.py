@@ -237,18 +237,21 @@ def align_pairs(rows: DataFrame, ref: str = "ref", query: str = "query") -> Data
 
     def run(batches):
         for frame in batches:
-            got = [kernels.align(a or "", b or "") for a, b in zip(frame[ref], frame[query], strict=True)]
+            got = kernels.align_many([a or "" for a in frame[ref]], [b or "" for b in frame[query]])
             yield frame.assign(score=[g[0] for g in got], ops=["".join(f"{n}{op}" for op, n in g[1]) for g in got])
 
     return rows.mapInPandas(run, rows.schema.simpleString()[7:-1].replace(":", " ") + ", score int, ops string")
 
 
 def consensus_reads(rows: DataFrame, group: str = "grp", seq: str = "seq", min_reads: int = 3) -> DataFrame:
-    """(group, n_reads, consensus) of each group with enough reads; a group is one breakpoint's junction sequences."""
+    """(group, n_reads, consensus) of each group with enough reads; a group is one breakpoint's junction sequences, one row before the kernel takes a batch of groups."""
+    batch = 2_000
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        reads = sorted(frame[seq].dropna())
-        rows = [(frame[group].iloc[0], len(reads), kernels.consensus(reads))] if len(reads) >= min_reads else []
-        return pd.DataFrame(rows, columns=[group, "n_reads", "consensus"])
+    def run(frames):
+        for frame in frames:
+            for i in range(0, len(frame), batch):
+                part = frame.iloc[i : i + batch]
+                yield pd.DataFrame({group: part[group], "n_reads": [len(reads) for reads in part["reads"]], "consensus": kernels.consensus_many([list(reads) for reads in part["reads"]])})
 
-    return rows.groupBy(group).applyInPandas(run, f"{group} string, n_reads int, consensus string")
+    grouped = rows.groupBy(group).agg(F.sort_array(F.collect_list(seq)).alias("reads")).where(F.size("reads") >= max(min_reads, 0))
+    return grouped.mapInPandas(run, f"{group} string, n_reads int, consensus string")
