@@ -30,7 +30,7 @@ def small_variants(
     A gene with alleles but no call at their positions has the genotype ``*1/*1``.
     """
     pile = pileup.cds_pileup(alignments, cds)
-    counts, sequences = pileup.pileup_counts(pile), coding_sequences(cds, reference, chunk)
+    counts, sequences = pileup.cds_counts(alignments, cds), coding_sequences(cds, reference, chunk)
     bases = sequences.select("gene", F.posexplode(F.split("seq", "")).alias("cds_pos", "ref")).where("ref <> ''")
     calls = pileup.call_variants(counts, bases, min_coverage, min_frequency)
     out = {"calls": calls, "phases": pileup.phase(calls, pile), "changes": genotype.amino_changes(calls, sequences), "depths": pileup.mean_depth(counts, sequences.select("gene", F.length("seq").alias("size")))}
