@@ -95,7 +95,7 @@ def fusion_calls(inputs: Inputs, t: Thresholds = Thresholds()) -> DataFrame:
     reads, rules, targets, margin = inputs.alignments, inputs.rules, inputs.targets, t.margin
     if rules is not None:
         targets, margin = rules.margins(targets), F.col("margin")
-    at_targets = structural.split_alignments(reads, pileup.hit_reads(reads, targets, margin, t.min_anchor))
+    at_targets = structural.splits_at(reads, targets, margin, t.min_anchor)
     clear = at_targets.join(structural.ambiguous(at_targets, targets, margin, t.min_anchor), ["read_name", "aln_no"], "left_anti")
     located = structural.loci(clear, targets, margin, t.min_anchor)
     if rules is None:

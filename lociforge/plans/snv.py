@@ -29,15 +29,14 @@ def small_variants(
 
     A gene with alleles but no call at their positions has the genotype ``*1/*1``.
     """
-    pile = pileup.cds_pileup(alignments, cds)
     counts, sequences = pileup.cds_counts(alignments, cds), coding_sequences(cds, reference, chunk)
     bases = sequences.select("gene", F.posexplode(F.split("seq", "")).alias("cds_pos", "ref")).where("ref <> ''")
     calls = pileup.call_variants(counts, bases, min_coverage, min_frequency)
-    out = {"calls": calls, "phases": pileup.phase(calls, pile), "changes": genotype.amino_changes(calls, sequences), "depths": pileup.mean_depth(counts, sequences.select("gene", F.length("seq").alias("size")))}
+    out = {"calls": calls, "phases": pileup.phase(calls, alignments, cds), "changes": genotype.amino_changes(calls, sequences), "depths": pileup.mean_depth(counts, sequences.select("gene", F.length("seq").alias("size")))}
     tables = []
     for gene, alleles in (stars or {}).items():
         wanted = calls.where((F.col("gene") == gene) & F.col("pos").isin(sorted({p for loci in alleles.values() for p in loci})))
-        found = genotype.genotypes(wanted, pileup.phase(wanted, pile.where(F.col("gene") == gene)), alleles)
+        found = genotype.genotypes(wanted, pileup.phase(wanted, alignments, cds.where(F.col("gene") == gene)), alleles)
         plain = calls.sparkSession.createDataFrame([(gene,)], "gene string").join(found, "gene", "left")
         tables.append(plain.select("gene", F.coalesce("genotype", F.lit("*1/*1")).alias("genotype"), F.coalesce("unassigned", F.array().cast("array<int>")).alias("unassigned")))
     for one in tables:
