@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociforge.functions import cigar
 from lociforge.functions.stats import upper_median
-from lociforge.operators import kernels
+from lociforge.operators import kernels, tiles
 from lociforge.operators.intervals import bins, overlap_join
-from lociforge.operators.pileup import sites_in
+from lociforge.operators.pileup import sites_in, widened
 
 LOCUS = 10_000
+STEP = 4096
 MARGIN, MIN_ANCHOR = 5000, 500
 
 
@@ -21,11 +24,22 @@ def split_alignments(alignments: DataFrame, reads: DataFrame | None = None) -> D
 
     With ``reads`` (names, as ``pileup.hit_reads`` finds them) only theirs: a fusion needs a record at a target, so others need not be shuffled.
     """
-    kept = alignments.where((F.col("ref_id") >= 0) & ~F.col("read_name").contains(";"))
-    read = kept.select("read_name", "aln_no", "ref_id", cigar.query_coords(F.col("pos0"), F.col("cigar"), F.col("flag")).alias("x"))
+    read = _query_records(alignments)
     if reads is not None:
         read = read.join(reads.select("read_name"), "read_name", "left_semi")
-    return read.select("read_name", "aln_no", "ref_id", "x.*", F.count("*").over(Window.partitionBy("read_name")).alias("parts"))
+    return read.select("*", F.count("*").over(Window.partitionBy("read_name")).alias("parts"))
+
+
+def _query_records(alignments: DataFrame) -> DataFrame:
+    kept = alignments.where((F.col("ref_id") >= 0) & ~F.col("read_name").contains(";"))
+    return kept.select("read_name", "aln_no", "ref_id", cigar.query_coords(F.col("pos0"), F.col("cigar"), F.col("flag")).alias("x")).select("read_name", "aln_no", "ref_id", "x.*")
+
+
+def splits_at(alignments: DataFrame, targets: DataFrame, margin: int | Column = MARGIN, min_anchor: int = MIN_ANCHOR) -> DataFrame:
+    """``split_alignments`` of the reads with a record at a target, each record with its first target (``_bin``, ``_nm``): one look at the targets, before records of a read meet."""
+    met = tiles.first_targets(_query_records(alignments), widened(targets, margin), min_anchor)
+    read = Window.partitionBy("read_name")
+    return met.withColumns({"parts": F.count("*").over(read), "_hit": F.max(F.col("_bin").isNotNull()).over(read)}).where("_hit").drop("_hit")
 
 
 def _as(df: DataFrame, tag: str) -> DataFrame:
@@ -49,24 +63,22 @@ def ambiguous(splits: DataFrame, targets: DataFrame, margin: int = MARGIN, min_a
     shared = F.expr("least(qe0, qe1) - greatest(qs0, qs1)")
     shorter = F.expr("least(qe0 - qs0, qe1 - qs1)")
     rivals = both.where(~same & (shared > F.floor(shorter / 2)) & (shared > min_anchor) & (shared > 0))
-    wide = targets.select("ref_id", F.greatest(F.col("st") - margin, F.lit(0)).alias("g_st"), (F.col("en") + margin).alias("g_en"))
-    one_gene = F.expr("ref_id0 = ref_id1 and ref_id0 = ref_id and ts0 < g_en and te0 > g_st and ts1 < g_en and te1 > g_st")
-    return rivals.join(wide, one_gene & (F.col("ref_id0") == F.col("ref_id")), "left_anti").select("read_name", F.col("aln_no0").alias("aln_no")).distinct()
-
-
-def loci(splits: DataFrame, targets: DataFrame, margin: int = MARGIN, min_anchor: int = MIN_ANCHOR, width: int = 100_000) -> DataFrame:
-    """Records with ``loci``: that of the first target they reach, or every 10 kb bin they touch and one more, without a gene."""
-    wide = targets.select(F.col("ref_id").alias("_r"), "st", "en", "nm", "ord", F.greatest(F.col("st") - margin, F.lit(0)).alias("g_st"), (F.col("en") + margin).alias("g_en"))
-    wide = wide.withColumn("_t", F.explode(bins(F.col("g_st"), F.col("g_en") - 1, width)))
-    dealt = splits.withColumn("_b", F.explode_outer(bins(F.col("ts"), F.col("te") - 1, width)))
-    anchor = F.least("g_en", "te") - F.greatest("g_st", "ts")
-    met = dealt.join(wide, (F.col("ref_id") == F.col("_r")) & (F.col("_b") == F.col("_t")) & (anchor > max(min_anchor, 0)), "left")
-    place = F.struct("ord", F.floor((F.col("st") + F.floor((F.col("en") - F.col("st")) / 2)) / LOCUS).cast("int").alias("bin"), "nm")
-    reached = met.groupBy(*splits.columns).agg(F.min(F.when(F.col("_r").isNotNull(), place)).alias("g"))  # a record's bins meet again here, without a second look at the records
+    # A widened target holds both places if it begins before the first one's end and ends after the last one's start: the furthest end among those that begin before is enough.
+    order = Window.partitionBy("ref_id").orderBy("g_st")
+    steps = widened(targets, margin).select("ref_id", "g_st", F.max("g_en").over(order).alias("reach"), F.lead("g_st").over(order).alias("next"))
+    steps = steps.withColumn("past", F.least("reach", F.coalesce("next", "reach"))).where("g_st < past").withColumn("_t", F.explode(bins(F.col("g_st"), F.col("past") - 1, STEP)))
+    first, last = F.least("te0", "te1") - 1, F.greatest("ts0", "ts1")
+    held = (F.col("ref_id0") == F.col("ref_id")) & (F.floor(first / STEP).cast("int") == F.col("_t")) & (F.col("ref_id0") == F.col("ref_id1")) & (first >= F.col("g_st")) & (first < F.col("past")) & (last < F.col("reach"))
+    return rivals.join(steps, held, "left_anti").select("read_name", F.col("aln_no0").alias("aln_no")).distinct()
+
+
+def loci(splits: DataFrame, targets: DataFrame, margin: int | Column = MARGIN, min_anchor: int = MIN_ANCHOR) -> DataFrame:
+    """Records with ``loci``: that of the first target they reach (which ``splits_at`` knows already), or every 10 kb bin they touch and one more, without a gene."""
+    reached = splits if "_bin" in splits.columns else tiles.first_targets(splits, widened(targets, margin), min_anchor)
     touched = F.sequence(F.floor(F.col("ts") / LOCUS).cast("int"), F.floor(F.col("te") / LOCUS).cast("int") + 1)
     unnamed = F.transform(touched, lambda b: F.struct(F.col("ref_id").alias("ref_id"), b.alias("bin"), F.lit("").alias("gene")))
-    named = F.array(F.struct(F.col("ref_id").alias("ref_id"), F.col("g.bin").alias("bin"), F.col("g.nm").alias("gene")))
-    return reached.withColumn("loci", F.when(F.col("g").isNotNull(), named).otherwise(unnamed)).withColumn("gene", F.coalesce("g.nm", F.lit(""))).drop("g")
+    named = F.array(F.struct(F.col("ref_id").alias("ref_id"), F.col("_bin").alias("bin"), F.col("_nm").alias("gene")))
+    return reached.withColumn("loci", F.when(F.col("_bin").isNotNull(), named).otherwise(unnamed)).withColumn("gene", F.coalesce("_nm", F.lit(""))).drop("_bin", "_nm")
 
 
 def locus_pairs(located: DataFrame, one_sided: list[str] | None = None, skip_self: tuple[str, ...] = ()) -> DataFrame:
@@ -118,15 +130,31 @@ def fusion_events(points: DataFrame, targets: DataFrame, margin: int = MARGIN, m
 
     Clustering is greedy in the order of read names; a locus pair's reads are one group (a pair of 10 kb loci, not a corpus).
     """
-    support = points.groupBy("g0", "g1").agg(F.count("*").alias("supporting")).where(F.col("supporting") >= min_reads)
-    schema = "g0 struct<ref_id:int,bin:int,gene:string>, g1 struct<ref_id:int,bin:int,gene:string>, supporting long, pos0 int, pos1 int, dir0 string, dir1 string, n_reads int, overlap_gap int"
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = frame.sort_values(["read_name", "pos0", "pos1"]).to_dict("records")
-        out = [(c["g0"], c["g1"], c["supporting"], kernels.upper_median(c["p0"]), kernels.upper_median(c["p1"]), c["dir0"], c["dir1"], c["n"], kernels.upper_median(c["gaps"])) for c in kernels.interval_clusters(rows) if c["n"] >= min_breakpoint_reads]
-        return pd.DataFrame(out, columns=["g0", "g1", "supporting", "pos0", "pos1", "dir0", "dir1", "n_reads", "overlap_gap"])
+    locus = "struct<ref_id:int,bin:int,gene:string>"
+    schema = f"g0 {locus}, g1 {locus}, supporting long, pos0 int, pos1 int, dir0 string, dir1 string, n_reads int, overlap_gap int"
+    kept = ("read_name", "pos0", "pos1", "dir0", "dir1", "overlap_gap", "lo0", "hi0", "lo1", "hi1")
 
-    clustered = points.join(support, ["g0", "g1"]).groupBy("g0", "g1").applyInPandas(run, schema)
+    def run(batches):
+        for batch in batches:
+            reads, ends = batch.column("reads"), batch.column("reads").offsets.to_numpy()
+            values = reads.values.slice(ends[0], ends[-1] - ends[0])
+            columns = {c: values.field(c).to_pylist() for c in kept[1:]}
+            ends = ends - ends[0]
+            out = []
+            for k, (lo, hi) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+                if hi - lo == 1:  # most pairs of loci have one read
+                    if min_breakpoint_reads <= 1:
+                        out.append((k, 1, columns["pos0"][lo], columns["pos1"][lo], columns["dir0"][lo], columns["dir1"][lo], 1, columns["overlap_gap"][lo]))
+                    continue
+                rows = [{c: columns[c][i] for c in columns} for i in range(lo, hi)]
+                out += [(k, hi - lo, kernels.upper_median(c["p0"]), kernels.upper_median(c["p1"]), c["dir0"], c["dir1"], c["n"], kernels.upper_median(c["gaps"])) for c in kernels.interval_clusters(rows) if c["n"] >= min_breakpoint_reads]
+            at, *rest = zip(*out, strict=True) if out else [()] * 8
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32()]
+            take = pa.array(at, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("g0").take(take), batch.column("g1").take(take), *[pa.array(c, kind) for c, kind in zip(rest, kinds, strict=True)]], ["g0", "g1", "supporting", "pos0", "pos1", "dir0", "dir1", "n_reads", "overlap_gap"])
+
+    grouped = points.groupBy("g0", "g1").agg(F.sort_array(F.collect_list(F.struct(*kept))).alias("reads")).where(F.size("reads") >= min_reads)
+    clustered = grouped.mapInArrow(run, schema)
     spans = targets.select(F.col("nm").alias("_nm"), F.greatest(F.col("st") - margin, F.lit(0)).alias("_st"), (F.col("en") + margin).alias("_en"))
     for k in (0, 1):
         at = F.col(f"pos{k}")
@@ -160,31 +188,39 @@ def deldup_candidates(splits: DataFrame, min_anchor: int = MIN_ANCHOR, max_overl
     return both.select("read_name", "aln_no0", "aln_no1", F.col("ref_id0").alias("ref_id"), found.alias("x")).where("x is not null").select("read_name", "aln_no0", "aln_no1", "ref_id", "x.*")
 
 
-def _start_runs(candidates: DataFrame, margin: int, width: int = LOCUS) -> DataFrame:
-    """``candidates`` with ``_run``: bins of starts that follow each other closer than ``margin``.  Only a row per bin passes through the ordered window."""
+def _start_runs(candidates: DataFrame, margin: int, width: int = LOCUS, room: int = 64) -> DataFrame:
+    """``candidates`` with ``_run``: whole runs of bins of starts that follow each other closer than ``margin``, by the ``room`` bins in which they begin.  Only a row per bin passes through the ordered window."""
     dealt = candidates.withColumn("_bin", F.floor(F.col("start") / width))
     edges = dealt.groupBy("ref_id", "kind", "_bin").agg(F.min("start").alias("_lo"), F.max("start").alias("_hi"))
     order = Window.partitionBy("ref_id", "kind").orderBy("_bin")
     apart = F.coalesce(F.col("_lo") - F.lag("_hi").over(order) >= margin, F.lit(True))
-    runs = edges.select("ref_id", "kind", "_bin", apart.cast("int").alias("_apart")).withColumn("_run", F.sum("_apart").over(order)).drop("_apart")
+    runs = edges.select("ref_id", "kind", "_bin", F.when(apart, F.col("_bin")).alias("_begin")).withColumn("_run", F.floor(F.max("_begin").over(order) / room)).drop("_begin")
     return dealt.join(runs, ["ref_id", "kind", "_bin"]).drop("_bin")
 
 
 def deldup_clusters(candidates: DataFrame, min_reads: int = 3, margin: int = 50) -> DataFrame:
     """Candidates of a contig and kind in clusters of ``min_reads`` reads or more, 0-based.
 
-    Clustering is greedy in the order of read names.  Starts that lie ``margin`` or more apart never share a cluster, so a task takes one run of close starts and
-    cuts it at every such gap; the result is that of a pass over the whole contig.
+    Clustering is greedy in the order of read names.  Starts that lie ``margin`` or more apart never share a cluster, so a task takes whole runs of close starts and
+    cuts them at every such gap; the result is that of a pass over the whole contig.
     """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("start")
+        start, end = frame.start.to_numpy(), frame.end.to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(start) >= margin) + 1).tolist(), len(frame)]
         rows = []
-        for _, island in frame.groupby((frame.start.diff() >= margin).cumsum()):
-            island = island.sort_values(["read_name", "aln_no0", "aln_no1"])
-            found = kernels.nearest_clusters(zip(island.start, island.end, strict=True), margin)
-            rows += [(island.ref_id.iloc[0], island.kind.iloc[0], s - 1, e - 1, n) for s, e, n in found if n >= min_reads]
-        return pd.DataFrame(rows, columns=["ref_id", "kind", "start", "end", "reads"])
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if hi - lo == 1:
+                rows += [(int(start[lo]) - 1, int(end[lo]) - 1, 1)] if min_reads <= 1 else []
+                continue
+            island = frame.iloc[lo:hi].sort_values(["read_name", "aln_no0", "aln_no1"])
+            found = kernels.nearest_clusters(zip(island.start.tolist(), island.end.tolist(), strict=True), margin)
+            rows += [(s - 1, e - 1, n) for s, e, n in found if n >= min_reads]
+        out = pd.DataFrame(rows, columns=["start", "end", "reads"])
+        out.insert(0, "kind", frame.kind.iloc[0])
+        out.insert(0, "ref_id", frame.ref_id.iloc[0])
+        return out
 
     return _start_runs(candidates, margin).groupBy("ref_id", "kind", "_run").applyInPandas(run, "ref_id int, kind string, start int, end int, reads int")
 
